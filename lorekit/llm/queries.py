@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekit.llm import minhash
+from lorekit.llm import hilbert, licences, minhash, mixing, png
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.hilbert_shards(documents(spark, sf_dir), shards=40)
+
+
 def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op3_circulant_minhash,)}
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op8_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return png.describe(png.to_media(documents(spark, sf_dir)))
+
+
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir)).drop("places")
+
+
+QUERIES = {f.__name__: f for f in (op2_hilbert_shards, op3_circulant_minhash, op6_source_mixing, op8_png_media, op10_licence_scan)}
 ORACLE_SQL: dict[str, str] = {}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekit.llm import hilbert, licences, minhash, mixing, png
+from lorekit.llm import bpe, hilbert, licences, minhash, mixing, png, rans
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,15 @@ def op3_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), words=4)
 
 
+def op4_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, table = rans.write(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return rans.read(files, table)
+
+
+def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -31,5 +41,5 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir)).drop("places")
 
 
-QUERIES = {f.__name__: f for f in (op2_hilbert_shards, op3_circulant_minhash, op6_source_mixing, op8_png_media, op10_licence_scan)}
+QUERIES = {f.__name__: f for f in (op2_hilbert_shards, op3_circulant_minhash, op4_rans_tokens, op5_forced_boundary_bpe, op6_source_mixing, op8_png_media, op10_licence_scan)}
 ORACLE_SQL: dict[str, str] = {}

@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,6 +68,8 @@ def grouped(df: DataFrame, key: str, fn: Callable[[pa.Table], dict[str, list] |
     fn returns columns by name, or None for no rows. One group at a time is in memory: callers bound group sizes.
     """
 
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = None, 0
         for t in runs(batches, key):
@@ -77,10 +81,10 @@ def grouped(df: DataFrame, key: str, fn: Callable[[pa.Table], dict[str, list] |
                 out[k].extend(v)
             n += len(next(iter(got.values())))
             if n >= 20_000:
-                yield pa.RecordBatch.from_pydict(out)
+                yield pa.RecordBatch.from_pydict(out, schema=kinds)
                 out, n = None, 0
         if out:
-            yield pa.RecordBatch.from_pydict(out)
+            yield pa.RecordBatch.from_pydict(out, schema=kinds)
 
     return df.repartition(key).sortWithinPartitions(key).mapInArrow(stream, schema)
 

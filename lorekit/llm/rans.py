@@ -14,10 +14,11 @@ blocks; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ SCALE = 18
 LOW = np.uint64(1 << 31)
 BLOCK, LANES, STRIDE = 1 << 18, 1024, 128
 MAGIC = b"RANB"
-REMEMBER, LONGEST = 400_000, 48
+REMEMBER, LONGEST = 250_000, 48
 NULL_ID = -(1 << 63)
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 class Table:
@@ -153,21 +155,66 @@ class Words:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.last = np.zeros(self.size, bool)
+        for word, i in self.tokenizer.get_vocab().items():
+            self.last[i] = word.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in got]
+
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters alone, encoded in runs: each ends with its only id that ends a word."""
+        out = []
+        for i in range(0, len(words), 500):
+            run = words[i : i + 500]
+            ids = np.array(self.tokenizer.encode(b" ".join(run).decode(), add_special_tokens=False).ids, self.dtype)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(run):
+                out += self._each(run)
+                continue
+            packed, k = ids.tobytes(), self.dtype.itemsize
+            out += [packed[k * a : k * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return out
+
+    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words not seen before; a comma or full stop after a word of letters is an id of its own."""
+        plain: dict[bytes, tuple[bytes, bytes]] = {}
+        other = []
+        for w in words:
+            core, mark = (w[:-1], w[-1:]) if w[-1:] in b".," else (w, b"")
+            if core.isalpha() or (core and not core.isascii() and (LATIN.fullmatch(t := core.decode()) or normalize("NFC", t).lower().isalpha())):
+                plain[w] = (core, mark)
+            else:
+                other.append(w)
+        cores = self.cores
+        fresh = list({c for c, _ in plain.values()}.difference(cores))
+        cores.update(zip(fresh, self._letters(fresh), strict=True))
+        marks = {m: self._each([m])[0] if m else b"" for m in (b"", b".", b",")}
+        out = {w: cores[c] + marks[m] for w, (c, m) in plain.items()}
+        out.update(zip(other, self._each(other), strict=True))
+        if len(cores) > REMEMBER // 3:
+            for c in fresh:
+                del cores[c]
+        return out
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Packed ids of each text, end appended."""
+        tail, known = np.array([end], self.dtype).tobytes(), self.known
         split = [t.split() for t in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        fresh = {w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(new, got, strict=True)}
-        known, tail = self.known, np.array([end], self.dtype).tobytes()
-        known.update(fresh)
-        out = [b"".join([*map(known.__getitem__, words), tail]) for words in split]
-        for w in fresh:
-            if len(w) > LONGEST or len(known) > REMEMBER:
-                del known[w]
-        return out
+        got = [list(map(known.get, words)) for words in split]
+        lost = [i for i, g in enumerate(got) if None in g]
+        fresh = self._new({w for i in lost for w, g in zip(split[i], got[i], strict=True) if g is None})
+        for i in lost:
+            got[i] = [fresh[w] if g is None else g for w, g in zip(split[i], got[i], strict=True)]
+        for w, ids in fresh.items():
+            if len(known) >= REMEMBER:
+                break
+            if len(w) <= LONGEST:
+                known[w] = ids
+        return [b"".join([*g, tail]) for g in got]
 
 
 _words: dict[str, Words] = {}
@@ -268,10 +315,11 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], kind)
-                block = encode_block(table, row["docs"], row["lengths"], ids, row["offset"])
-                yield pa.RecordBatch.from_arrays([pa.array([row["part"]], pa.int32()), pa.array([row["seq"]], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([block], pa.binary())], names=["part", "seq", "n_tokens", "block"])
+            for k in range(batch.num_rows):
+                part, seq, offset, docs_of, lengths, packed = (c[k].as_py() for c in batch.columns)
+                ids = np.frombuffer(packed, kind)
+                block = encode_block(table, docs_of, lengths, ids, offset)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([block], pa.binary())], names=["part", "seq", "n_tokens", "block"])
 
     return settle(plain.mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag), table
 

@@ -55,10 +55,12 @@ class Codec:
             self.tokens[i] = word.encode()
         self.dtype = np.dtype("<u2" if len(self.tokens) <= 1 << 16 else "<u4")
         self.byte = [vocab[c] for c, _ in sorted(letter.items(), key=lambda x: x[1])]
-        self.merges = {}
+        self.ranks, self.made = {}, []
         for rank, pair in enumerate(file["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.ranks[vocab[a], vocab[b]] = rank
+            self.made.append(vocab[a + b])
+        self.rank_of, self.never = self.ranks.get, len(self.made)
         self.inside = {p for word in vocab if word not in self.special for p in zip(*(lambda t: (t, t[1:]))(self.tokens[vocab[word]]), strict=False)}
         self.marks = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.known: dict[str, bytes] = {}
@@ -77,23 +79,18 @@ class Codec:
 
     def merge(self, fragment: bytes) -> list[int]:
         """The ids of one fragment: the merge of lowest rank first, the leftmost of equal ones."""
-        ids, merges = [self.byte[b] for b in fragment], self.merges
+        ids, rank_of, never = [self.byte[b] for b in fragment], self.rank_of, self.never
         if len(ids) > 64:
             return self._merge_long(ids)
-        while len(ids) > 1:
-            best = min((merges.get(p, (1 << 60, 0)) + p for p in zip(ids, ids[1:], strict=False)), key=lambda x: x[0])
-            if best[0] == 1 << 60:
-                break
-            _, new, a, b = best
-            out, i = [], 0
-            while i < len(ids):
-                if ids[i] == a and i + 1 < len(ids) and ids[i + 1] == b:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+        ranks = [rank_of(p, never) for p in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != never:
+            i = ranks.index(best)
+            ids[i : i + 2] = [self.made[best]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), never)
+            if i < len(ranks):
+                ranks[i] = rank_of((ids[i], ids[i + 1]), never)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -102,8 +99,8 @@ class Codec:
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < n and (got := self.merges.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (got[0], i, ids[i], ids[j], got[1]))
+            if j < n and (rank := self.rank_of((ids[i], ids[j]))) is not None:
+                heapq.heappush(heap, (rank, i, ids[i], ids[j], self.made[rank]))
 
         for i in range(n - 1):
             offer(i)

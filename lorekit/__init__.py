@@ -1,0 +1,3 @@
+"""A Spark engine that distils run logs into a small, ranked pool of lessons."""
+
+__version__ = "0.1.0"

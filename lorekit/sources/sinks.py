@@ -1,0 +1,109 @@
+"""Pools, spools and reports on disk: written beside, then renamed."""
+
+from __future__ import annotations
+
+import fcntl
+import json
+import os
+import re
+import shutil
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import datetime, timezone
+from pathlib import Path
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lorekit.operators.cluster import compact
+from lorekit.operators.tier import split
+from lorekit.schema import FIELDS
+
+
+def publish(path: str | Path, text: str) -> None:
+    """Replace a file in one step."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    beside = path.with_name(f"{path.name}.{uuid.uuid4().hex[:8]}.tmp")
+    beside.write_text(text, encoding="utf-8")
+    os.replace(beside, path)
+
+
+def save_json(path: str | Path, value: object) -> None:
+    publish(path, json.dumps(value, ensure_ascii=False, indent=2))
+
+
+def _entries(df: DataFrame, order: str) -> list[dict]:
+    """Records as JSON objects without nulls; for pools, which their cap bounds."""
+    return [json.loads(r.j) for r in df.select(order, F.to_json(F.struct(*FIELDS)).alias("j")).orderBy(order).collect()]
+
+
+def save_pool(pool: DataFrame, path: str, compacted: bool = True, metadata: dict | None = None, order: str = "pos") -> int:
+    """A pool file of the (compacted) records; returns how many."""
+    rows = _entries(compact(pool) if compacted else pool, order)
+    meta = {"last_updated": datetime.now(timezone.utc).isoformat(), "total_experiences": len(rows)}
+    save_json(path, {"experiences": {r["id"]: r for r in rows}, "history": [], "metadata": meta | (metadata or {})})
+    return len(rows)
+
+
+def save_split(pool: DataFrame, core_path: str, extended_path: str, source: str) -> dict:
+    """Both tiers of a pool as files; returns their sizes and the histogram of reasons."""
+    core, extended, reasons = split(pool)
+    sizes = {name: save_pool(df, path, False, {"source": source}, "id") for name, df, path in (("core", core, core_path), ("extended", extended, extended_path))}
+    return sizes | {"reasons": {r["reason"]: r["count"] for r in reasons.collect()}}
+
+
+def run_id(path: str) -> str:
+    """The run that a log file belongs to."""
+    p = Path(path)
+    if p.parent.name == "tasks":
+        return p.parent.parent.name
+    if p.stem.startswith("run_"):
+        return p.stem
+    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+
+
+def write_spool(records: DataFrame, folder: str, run: str, order: str = "ord") -> str | None:
+    """A spool file with a record a line; none for no records. A spool holds the records of one batch of files."""
+    lines = [r.j for r in records.select(order, F.to_json(F.struct(*FIELDS)).alias("j")).orderBy(order).toLocalIterator()]
+    if not lines:
+        return None
+    path = Path(folder) / f"{re.sub(r'[^A-Za-z0-9_.-]', '_', run)}.{os.getpid()}.{uuid.uuid4().hex[:8]}.jsonl"
+    publish(path, "\n".join(lines) + "\n")
+    return str(path)
+
+
+def write_spool_dataset(records: DataFrame, path: str) -> None:
+    """The same lines as a distributed dataset, for batches beyond one file."""
+    records.select(F.to_json(F.struct(*FIELDS)).alias("value")).write.text(path)
+
+
+def archive(paths: list[str]) -> None:
+    """Move merged spool files to merged/ beside them."""
+    for p in map(Path, paths):
+        (p.parent / "merged").mkdir(exist_ok=True)
+        shutil.move(str(p), str(p.parent / "merged" / p.name))
+
+
+@contextmanager
+def exclusive(path: str) -> Iterator[None]:
+    """One process at a time."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "a") as f:
+        fcntl.flock(f, fcntl.LOCK_EX)
+        try:
+            yield
+        finally:
+            fcntl.flock(f, fcntl.LOCK_UN)
+
+
+SAMPLE = [
+    {"id": "fifo_pointer_wrap", "category": "Functional Logic", "problem": "The full flag rises one entry too early when the write pointer wraps.", "solution": "Extend both pointers by one bit and compare the extra bit to tell full from empty.", "importance": "high"},
+    {"id": "reset_branch", "category": "State Machine", "problem": "The state register has no value after reset.", "solution": "Assign the idle state in the reset branch.", "importance": "medium"},
+    {"id": "signed_compare", "category": "Arithmetic", "problem": "A signed value is compared with an unsigned constant.", "solution": "Declare the constant as signed.", "importance": "low"},
+]
+
+
+def write_sample_pool(path: str) -> None:
+    save_json(path, {"experiences": {r["id"]: r for r in SAMPLE}, "history": [], "metadata": {"total_experiences": len(SAMPLE)}})

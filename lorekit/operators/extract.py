@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lorekit.functions.text import text
 from lorekit.operators import parse
@@ -50,7 +51,7 @@ def log_prompts(logs: DataFrame, most: int = 10) -> DataFrame:
 
 def complete(prompts: DataFrame, factory, partitions: int = 8) -> DataFrame:
     """prompts with response, by a provider made by factory in each of so many tasks; a failed call gives null."""
-    schema = f"{prompts._jdf.schema().toDDL()}, response string" if not hasattr(prompts.schema, "toDDL") else f"{prompts.schema.toDDL()}, response string"
+    schema = T.StructType([*prompts.schema.fields, T.StructField("response", T.StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         provider = factory()

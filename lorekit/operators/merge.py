@@ -10,7 +10,7 @@ from lorekit.functions.text import strip, text, unfence
 from lorekit.operators import similarity as S
 from lorekit.operators.normalize import higher_importance, normalize
 from lorekit.operators.quality import PASS, gate, quality_score
-from lorekit.schema import FIELDS, MAIN_TYPES, RECORD
+from lorekit.schema import FIELDS, MAIN_TYPES, RECORD, barrier
 
 TOP = 12
 #: Up to this many pool records the pool is broadcast; above it, pairs come from equality blocks.
@@ -19,7 +19,7 @@ BROADCAST_ROWS = 5_000
 
 def _side(df: DataFrame, order: str, name: str) -> DataFrame:
     rows = S.with_tokens(df).withColumn("q", quality_score()).withColumn("place", F.col(order))
-    return rows.select(F.struct(*FIELDS, "t_problem", "t_solution", "t_evidence", "t_tasks", "bucket", "q", "place").alias(name))
+    return barrier(rows).select(F.struct(*FIELDS, "t_problem", "t_solution", "t_evidence", "t_tasks", "bucket", "q", "place").alias(name))
 
 
 def _blocks(name: str) -> Column:
@@ -48,7 +48,7 @@ def pairs(new: DataFrame, pool: DataFrame, new_order: str = "ord", pool_order: s
 def recall(new: DataFrame, pool: DataFrame, top: int = TOP, **options) -> DataFrame:
     """n, o, sim, same_task, same_cluster, rank: up to top candidates of each new record, best first."""
     p = pairs(new, pool, **options).withColumn("sim", S.merge_similarity("n", "o")).withColumn("same_task", S.same_task("n", "o"))
-    p = p.withColumn("same_cluster", S.same_cluster("n", "o")).where(F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.20))
+    p = barrier(p.withColumn("same_cluster", S.same_cluster("n", "o"))).where(F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.20))
     strong = F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.26)
     each = W.partitionBy("n.place")
     p = p.withColumn("strong", strong).withColumn("_any", F.max("strong").over(each)).where(F.col("strong") | ~F.col("_any"))
@@ -83,7 +83,7 @@ def merged_pair(df: DataFrame, name: str = "m") -> DataFrame:
     fields["evidence"] = F.coalesce(_given(own["evidence"]), _given(far["evidence"]))
     for f in ("task_id", "experience_type", "root_cause_type", "task_scope"):
         fields[f] = F.coalesce(_given(own[f]), _given(F.col(f"o.{f}")), _given(F.col(f"n.{f}")))
-    return repair(df.withColumn(name, F.struct(*(fields[f].alias(f) for f in FIELDS))), name)
+    return repair(barrier(df.withColumn(name, F.struct(*(fields[f].alias(f) for f in FIELDS)))), name)
 
 
 def repair(df: DataFrame, name: str) -> DataFrame:
@@ -99,11 +99,11 @@ def repair(df: DataFrame, name: str) -> DataFrame:
     keep = [c for c in df.columns if c != name]
     blank = p("id").isNull() & p("problem").isNull()
     flat = df.select(F.struct(*keep).alias("_keep"), blank.alias("_blank"), *(fields[f].alias(f) for f in FIELDS))
-    flat = normalize(flat)
+    flat = normalize(barrier(flat))
     single = (text("task_id") != "") & ~text("task_id").rlike("[,;/ ]")
     flat = flat.withColumn("task_scope", F.when(single, "task_specific").otherwise(F.col("task_scope"))).withColumn("_ok", gate() == PASS)
     record = F.when(~F.col("_blank"), F.struct(*FIELDS)).alias(name)
-    return flat.select("_keep.*", record, F.col("_ok").alias(f"{name}_ok"))
+    return barrier(flat.select("_keep.*", record, F.col("_ok").alias(f"{name}_ok")))
 
 
 def _operation(action: str, target: bool, record: Column | None, reason: str) -> Column:
@@ -156,7 +156,7 @@ def decide(new: DataFrame, pool: DataFrame, responses: DataFrame | None = None,
         .when(((sim >= 0.68) | (tasked & (sim >= 0.55))) & (q_new >= q_old + 2), _operation("REPLACE", True, _new(), "Rule: stronger overlapping record"))
         .when((sim >= 0.60) & (q_new <= q_old), _operation("SKIP", False, None, "Rule: overlapping and no better"))
     )
-    rows = rows.withColumn("op", rule)
+    rows = barrier(rows.withColumn("op", rule))
     if responses is None:
         rows = rows.withColumn("op", F.coalesce("op", strict("NoAnswer")))
     else:

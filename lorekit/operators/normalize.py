@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lorekit.functions import vocabulary as V
 from lorekit.functions.text import any_in, joined, lowered, strip, string_list, task_tokens, text
+from lorekit.schema import barrier
 
 ALIASES = {alias: target for target, aliases in V.CATEGORIES.items() for alias in aliases}
 
@@ -97,7 +98,7 @@ def normalize(df: DataFrame) -> DataFrame:
     """Every normaliser in the order in which later ones read earlier results. Not idempotent for records without
     evidence: each pass lowers their importance by one step."""
     lower_step = F.when(F.col("importance") == "high", "medium").when(F.col("importance") == "medium", "low").otherwise(F.col("importance"))
-    return (
+    rows = (
         df.withColumn("category", category())
         .withColumn("id", record_id())
         .withColumn("importance", importance())
@@ -111,6 +112,7 @@ def normalize(df: DataFrame) -> DataFrame:
         .withColumn("merged_from", F.nullif(string_list(F.col("merged_from")), F.array().cast("array<string>")))
         .withColumn("importance", F.when(F.col("evidence").isNull(), lower_step).otherwise(F.col("importance")))
     )
+    return barrier(rows)
 
 
 def extracted_type() -> Column:

@@ -104,7 +104,7 @@ _sim = f"least({d(1.0)}, {weighted(0.52, 0.33, 0.15)} + CASE WHEN {_same_task} T
 RECALL = f""", met AS (SELECT a.ord AS new_ord, b.ord AS old_ord, b.quality AS qo, {_same_task} AS st, a.root_cause_type = b.root_cause_type AS sr, a.experience_type = b.experience_type AS sy, {_sim} AS sim
   FROM tok a JOIN tok b ON a.ord % 2 = 0 AND b.ord % 2 = 1 AND a.id <> b.id),
 marked AS (SELECT *, sr AND (st OR sy OR sim >= {d(0.40)}) AS sc FROM met),
-strong AS (SELECT *, (st OR sc OR sim >= {d(0.26)}) AS good, max(CASE WHEN st OR sc OR sim >= {d(0.26)} THEN 1 ELSE 0 END) OVER (PARTITION BY new_ord) AS some FROM marked)
+strong AS (SELECT *, (st OR sc OR sim >= {d(0.26)}) AS good, max(CASE WHEN st OR sc OR sim >= {d(0.26)} THEN 1 ELSE 0 END) OVER (PARTITION BY new_ord) AS any_good FROM marked)
 """
 SEG = f"""WITH seg AS ({SEGMENTS}), s AS (SELECT *, CASE WHEN severity IS NULL THEN 0 ELSE 1 END AS k, lower(coalesce(severity, '')) AS sev, lower(verification_detail) AS vd, lower(feedback) AS fb FROM seg),
 t AS (SELECT *, {contains("vd", ["compile error", "simulation error", "function error", "mismatch", "timeout", "failed"])} AS sig FROM s),
@@ -124,7 +124,7 @@ SELECT CAST(rank AS INTEGER) AS rank, id, round(quality, 9) AS quality, rank ||
     "candidate_audit": f"{BASE} SELECT 'normalized' AS stage, experience_type, count(*) AS n FROM norm GROUP BY experience_type UNION ALL SELECT 'prepared', experience_type, count(*) FROM scored WHERE reason = 'pass' GROUP BY experience_type",
     "dup_pairs": f"{BASE} SELECT a.ord AS a, b.ord AS b, round(least({d(1.0)}, {weighted(0.55, 0.35, 0.10)} + {d(0.05)} + {d(0.03)} + {d(0.05)}), 9) AS similarity FROM {GROUPED} WHERE {weighted(0.55, 0.35, 0.10)} + {d(0.05)} + {d(0.03)} + {d(0.05)} >= {d(0.52)} - {d(0.10)}",
     "consolidate_pairs": f"{BASE} SELECT a.ord AS a, b.ord AS b, round({weighted(0.5, 0.4, 0.1)} + {d(0.05)} + {d(0.05)} + {d(0.05)}, 9) AS score FROM {TASKED} WHERE {weighted(0.5, 0.4, 0.1)} + {d(0.05)} + {d(0.05)} + {d(0.05)} >= {d(0.46)}",
-    "candidate_recall": f"{BASE}{RECALL} SELECT new_ord, old_ord, CAST(rank AS INTEGER) AS rank, round(sim, 9) AS sim, st AS same_task, sc AS same_cluster FROM (SELECT *, row_number() OVER (PARTITION BY new_ord ORDER BY st DESC, sc DESC, sim DESC, qo DESC, old_ord) AS rank FROM strong WHERE good OR (some = 0 AND sim >= {d(0.20)})) WHERE rank <= 12",
+    "candidate_recall": f"{BASE}{RECALL} SELECT new_ord, old_ord, CAST(rank AS INTEGER) AS rank, round(sim, 9) AS sim, st AS same_task, sc AS same_cluster FROM (SELECT *, row_number() OVER (PARTITION BY new_ord ORDER BY st DESC, sc DESC, sim DESC, qo DESC, old_ord) AS rank FROM strong WHERE good OR (any_good = 0 AND sim >= {d(0.20)})) WHERE rank <= 12",
     "tier_classify": None,
     "segment_priority": f"""{SEG} SELECT ord, CAST(CASE WHEN has_task_error THEN 80 ELSE 0 END + CASE WHEN passornot THEN 0 ELSE 100 END + CASE WHEN {contains("vd", ["compile error", "simulation error"])} THEN 60 ELSE 0 END + CASE WHEN n_errors > 0 THEN 40 + 10 * n_errors ELSE 0 END + CASE WHEN k > 0 THEN 25 + 5 * k ELSE 0 END
 + CASE WHEN iterations >= 2 THEN 15 ELSE 0 END + CASE WHEN iterations >= 4 THEN 15 ELSE 0 END + CASE WHEN task_time_seconds > 180 THEN 10 ELSE 0 END + CASE WHEN task_time_seconds > 300 THEN 10 ELSE 0 END + CASE WHEN code_unchanged = false THEN 10 ELSE 0 END + CASE WHEN n_suggestions > 0 THEN 5 ELSE 0 END

@@ -4,23 +4,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RECORD = T.StructType.fromDDL(
-    "id string, category string, problem string, solution string, code_pattern string, importance string, source_file string,"
-    "evidence string, task_id string, experience_type string, root_cause_type string, task_scope string, confidence double,"
-    "canonical boolean, evidence_list array<string>, merged_from array<string>"
-)
+TEXT, YES, WHOLE, REAL = T.StringType(), T.BooleanType(), T.IntegerType(), T.DoubleType()
+TEXTS = T.ArrayType(TEXT)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A type without a session, so that workers can import it too."""
+    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
+
+
+RECORD = struct(
+    id=TEXT, category=TEXT, problem=TEXT, solution=TEXT, code_pattern=TEXT, importance=TEXT, source_file=TEXT, evidence=TEXT, task_id=TEXT, experience_type=TEXT,
+    root_cause_type=TEXT, task_scope=TEXT, confidence=REAL, canonical=YES, evidence_list=TEXTS, merged_from=TEXTS,
+)
 FIELDS = RECORD.names
 MAIN_TYPES = ("spec_compliance", "functional_bug_fix", "implementation_pattern")
-OPERATION = T.StructType.fromDDL(f"action string, target_ids array<string>, record {RECORD.simpleString()}, reason string")
-ERROR = "struct<type:string,description:string,message:string,severity:string>"
-TASK = T.StructType.fromDDL(
-    "task_id string, question string, error string,"
-    "final_result struct<status:string,iterations:int,final_output:string,check_result:struct<passornot:boolean,"
-    f"errors:array<{ERROR}>,feedback:string,suggestions:array<string>,verification:map<string,struct<result:struct<type:string,detail:string>>>>>,"
-    f"metrics struct<iterations:int,total_time_seconds:double>, phases array<struct<phase:string,data:struct<errors_found:array<{ERROR}>,code_unchanged:boolean>>>"
+OPERATION = struct(action=TEXT, target_ids=TEXTS, record=RECORD, reason=TEXT)
+ERROR = struct(type=TEXT, description=TEXT, message=TEXT, severity=TEXT)
+CHECK = struct(
+    passornot=YES, errors=T.ArrayType(ERROR), feedback=TEXT, suggestions=TEXTS, verification=T.MapType(TEXT, struct(result=struct(type=TEXT, detail=TEXT)))
 )
+PHASE = struct(phase=TEXT, data=struct(errors_found=T.ArrayType(ERROR), code_unchanged=YES))
+TASK = struct(
+    task_id=TEXT, question=TEXT, error=TEXT, final_result=struct(status=TEXT, iterations=WHOLE, final_output=TEXT, check_result=CHECK),
+    metrics=struct(iterations=WHOLE, total_time_seconds=REAL), phases=T.ArrayType(PHASE),
+)
 RUN_LOG = T.StructType([T.StructField("tasks", T.ArrayType(TASK)), *TASK.fields])
-RESPONSES = T.StructType.fromDDL("prompt_kind string, source_file string, task_id string, ord long, response string")
+RESPONSES = struct(prompt_kind=TEXT, source_file=TEXT, task_id=TEXT, ord=T.LongType(), response=TEXT)
 
 
 def as_records(df: DataFrame) -> DataFrame:
@@ -31,3 +41,8 @@ def as_records(df: DataFrame) -> DataFrame:
             empty = "" if f.name in ("id", "category", "problem", "solution") else "medium" if f.name == "importance" else None
             df = df.withColumn(f.name, F.lit(empty).cast(f.dataType))
     return df
+
+
+def barrier(df: DataFrame) -> DataFrame:
+    """df, its columns computed once: else the optimiser copies long expressions into every later use and filter."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorekit.llm.common import settle
+
 SAMPLE, LEXICON, LEAST = 20_000, 400, 5
 KINDS = 28  # border, a to z, any other letter
 REMEMBER = 200_000
@@ -188,46 +190,46 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")  # SAMPLE rows at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, bad, n = Reader(model), Counter(), Counter()
+        """entry, bad, n: the toxic texts and all texts that have it; the entry "" counts the texts themselves."""
+        reader, bad, both = Reader(model), Counter(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(both), pa.string()), pa.array([bad[e] for e in both], pa.int64()), pa.array(list(both.values()), pa.int64())], names=["entry", "bad", "n"])
+            bad.clear()
+            both.clear()
+            return out
+
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                n[bool(toxic)] += 1
+                found = {"", *(e for w in reader.words(text.as_py()) for e in entries(w))}
+                both.update(found)
                 if toxic:
-                    bad.update({e for w in reader.words(text.as_py()) for e in entries(w)})
-        # Entries that no toxic text has can't enter the lexicon; "" counts toxic texts, " " all.
-        bad[""], bad[" "] = n[True], n[True] + n[False]
-        yield pa.RecordBatch.from_arrays([pa.array(list(bad), pa.string()), pa.array(list(bad.values()), pa.int64())], names=["entry", "bad"])
-
-    seen = rows.mapInArrow(count, "entry string, bad long").groupBy("entry").agg(F.sum("bad").alias("bad"))
-    ends = {r.entry: r.bad for r in seen.where("entry in ('', ' ')").collect()}
-    n, bad = ends.get(" ", 0), ends.get("", 0)
-    if not bad or bad == n:
+                    bad.update(found)
+                if len(both) > 300_000:
+                    yield flush()
+        yield flush()
+
+    seen = rows.mapInArrow(count, "entry string, bad long, n long").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    seen = settle(seen.where(F.col("bad") >= LEAST), "entries")
+    total = seen.where("entry = ''").first()
+    if total is None or total.bad == total.n:
         return model
-    likely = seen.where(F.col("bad") >= LEAST).where(~F.col("entry").isin("", " ")).orderBy(F.desc("bad"), "entry").limit(20 * LEXICON)
-    first = {r.entry for r in likely.collect()}
+    odds = F.log((F.col("bad") + 0.5) / (total.bad + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (total.n - total.bad + 1))
+    best = seen.where("entry <> ''").withColumn("odds", odds).where("odds > 1").orderBy((F.col("bad") * F.col("odds")).desc(), "entry").limit(LEXICON)
+    place = {r.entry: i for i, r in enumerate(best.collect())}
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            found = [sorted({e for w in reader.words(t.as_py()) for e in entries(w) if e in first}) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(found, pa.list_(pa.string()))], names=["toxic", "found"])
-
-    table = rows.mapInArrow(every, "toxic int, found array<string>").collect()
-    total, toxic = Counter(), Counter()
-    for r in table:
-        total.update(r.found)
-        if r.toxic:
-            toxic.update(r.found)
-    odds = {e: math.log((toxic[e] + 0.5) / (bad + 1)) - math.log((total[e] - toxic[e] + 0.5) / (n - bad + 1)) for e in total}
-    ranked = sorted((e for e in total if odds[e] > 1 and toxic[e] >= LEAST), key=lambda e: (-toxic[e] * odds[e], e))[:LEXICON]
-    place = {e: i for i, e in enumerate(ranked)}
-    x = np.zeros((len(table), len(ranked) + 2))
+            found = [sorted({place[e] for w in reader.words(t.as_py()) for e in entries(w) if e in place}) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "found"])
+
+    table = rows.mapInArrow(every, "toxic int, found array<int>").collect()  # SAMPLE rows of a few numbers
+    x = np.zeros((len(table), len(place) + 2), np.float32)
     x[:, -1] = 1
     y = np.array([float(r.toxic > 0) for r in table])
     for i, r in enumerate(table):
-        for e in r.found:
-            if e in place:
-                x[i, place[e]] = x[i, -2] = 1  # the last but one: any entry at all
+        x[i, [*r.found, -2] if r.found else []] = 1  # the last but one: any entry at all
     w = np.zeros(x.shape[1])
     ridge = np.full(len(w), 1.0)
     ridge[-2:] = 0.01

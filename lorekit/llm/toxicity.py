@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if total is None or total.bad == total.n:
         return model
     odds = F.log((F.col("bad") + 0.5) / (total.bad + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (total.n - total.bad + 1))
-    best = seen.where("entry <> ''").withColumn("odds", odds).where("odds > 1").orderBy((F.col("bad") * F.col("odds")).desc(), "entry").limit(LEXICON)
+    best = seen.where("entry <> ''").withColumn("odds", odds).where("odds > 2").orderBy((F.col("bad") * F.col("odds")).desc(), "entry").limit(LEXICON)
     place = {r.entry: i for i, r in enumerate(best.collect())}
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         x[i, [*r.found, -2] if r.found else []] = 1  # the last but one: any entry at all
     w = np.zeros(x.shape[1])
     ridge = np.full(len(w), 1.0)
-    ridge[-2:] = 0.01
+    ridge[-1] = 0.01
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) - ridge * w)

@@ -14,10 +14,10 @@ from lorekit.schema import FIELDS, RECORD, as_records
 
 def whole_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
     """source_file (base name), path, content: one row for each file."""
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(paths).select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+    return reader.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
 def log_files(folder: str) -> list[str]:
@@ -71,7 +71,7 @@ def read_pool(spark: SparkSession, path: str) -> DataFrame:
     """key, record fields, pos of a pool file; empty if it is missing, empty or no pool."""
     if not Path(path).is_file():
         return spark.createDataFrame([], POOL)
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     rows = rows.select(F.posexplode(F.map_entries(_pool_json(F.col("value")))).alias("pos", "e"))
     return rows.select(F.col("e.key").alias("key"), *(F.col(f"e.value.{f}").alias(f) for f in FIELDS), F.col("pos").cast("long").alias("pos"))
 
@@ -79,7 +79,7 @@ def read_pool(spark: SparkSession, path: str) -> DataFrame:
 def read_any_pool(spark: SparkSession, path: str) -> DataFrame:
     """A pool file, or a bare list of records."""
     if isinstance(load_json(path), list):
-        rows = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.from_json("value", T.ArrayType(RECORD))).alias("pos", "e"))
+        rows = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", T.ArrayType(RECORD))).alias("pos", "e"))
         return rows.select(F.col("e.id").alias("key"), "e.*", F.col("pos").cast("long").alias("pos"))
     return read_pool(spark, path)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,25 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/lorekit"
 
 
-def settle(df: DataFrame, tag: str) -> DataFrame:
+def settle(df: DataFrame, tag: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: lineage is cut, lost executors recompute nothing before it."""
     path = f"{scratch(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for jobs run inside: rows that are large would else fill memory a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit words that spreads every input bit."""
     x = x ^ (x >> np.uint64(32))

@@ -18,7 +18,8 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from unicodedata import normalize
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +27,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lorekit.llm.common import settle
+from lorekit.llm.common import batches_of, settle
 
 SCALE = 18
 LOW = np.uint64(1 << 31)
 BLOCK, LANES, STRIDE = 1 << 18, 1024, 128
+BLOCKS_AT_ONCE = 8
+#: Pages are closed by their size after any row: by default only after a hundred, which here makes 50 MB.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 MAGIC = b"RANB"
-REMEMBER, LONGEST = 250_000, 48
+REMEMBER, LONGEST = 80_000, 48
 NULL_ID = -(1 << 63)
-LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: ASCII and the letters (with two signs) from U+00C0 to U+00FF in UTF-8: no combining marks, so case can go first.
+PLAIN = bytes([*range(0xC0), 0xC3])
+#: What special tokens begin with; they are matched before case is dropped.
+MARK = b"<|"
+#: Where the vocabulary's tokeniser cuts words, for plain lower-case characters; and the space between words.
+CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]| |[^a-z0-9ß-öø-ÿ ]+")
 
 
 class Table:
@@ -143,34 +152,52 @@ def decode_block(table: Table, block: bytes, only: int | None = None) -> tuple[i
 class Words:
     """Ids of white-space separated words, by the tokenizers library, remembered up to a fixed number.
 
-    Valid for tokenisers that drop white space and never join words across it.
+    Valid for tokenisers that drop white space, ignore case and never join words across white space. A word of plain
+    characters (ASCII and the Latin letters of two bytes) is cut where the tokeniser cuts it; its pieces are looked up,
+    and new ones go to the library in runs, past the normaliser and the splitter that have nothing left to do.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        split = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.whole, self.bare = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer), (None, split)
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.last = np.zeros(self.size, bool)
         for word, i in self.tokenizer.get_vocab().items():
             self.last[i] = word.endswith("</w>")
+        self.met = bytearray(1 << 22)
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {" ": bytes(self.dtype.itemsize)}
 
-    def _each(self, words: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _remember(self, table: dict, new: dict) -> None:
+        """Keep what was met before: most new words never come again. Any hash will do, as it only decides what is kept."""
+        met = self.met
+        for w, ids in new.items():
+            if len(table) >= REMEMBER:
+                break
+            h = hash(w) % len(met)
+            if met[h] and len(w) <= LONGEST:
+                table[w] = ids
+            met[h] = 1
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
+        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in got]
 
-    def _letters(self, words: list[bytes]) -> list[bytes]:
-        """Words of letters alone, encoded in runs: each ends with its only id that ends a word."""
+    def _runs(self, pieces: list[str]) -> list[bytes]:
+        """Pieces that the tokeniser doesn't cut, encoded in runs: each ends with its only id that ends a word."""
         out = []
-        for i in range(0, len(words), 500):
-            run = words[i : i + 500]
-            ids = np.array(self.tokenizer.encode(b" ".join(run).decode(), add_special_tokens=False).ids, self.dtype)
+        for i in range(0, len(pieces), 500):
+            run = pieces[i : i + 500]
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.bare
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(run):
                 out += self._each(run)
@@ -179,54 +206,57 @@ class Words:
             out += [packed[k * a : k * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         return out
 
-    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not seen before; a comma or full stop after a word of letters is an id of its own."""
-        plain: dict[bytes, tuple[bytes, bytes]] = {}
-        other = []
-        for w in words:
-            core, mark = (w[:-1], w[-1:]) if w[-1:] in b".," else (w, b"")
-            if core.isalpha() or (core and not core.isascii() and (LATIN.fullmatch(t := core.decode()) or normalize("NFC", t).lower().isalpha())):
-                plain[w] = (core, mark)
-            else:
-                other.append(w)
-        cores = self.cores
-        fresh = list({c for c, _ in plain.values()}.difference(cores))
-        cores.update(zip(fresh, self._letters(fresh), strict=True))
-        marks = {m: self._each([m])[0] if m else b"" for m in (b"", b".", b",")}
-        out = {w: cores[c] + marks[m] for w, (c, m) in plain.items()}
-        out.update(zip(other, self._each(other), strict=True))
-        if len(cores) > REMEMBER // 3:
-            for c in fresh:
-                del cores[c]
-        return out
+    def _new(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words not remembered."""
+        plain = [w for w in words if not (MARK in w or w.translate(None, PLAIN))]
+        held, pieces = set(plain), self.pieces
+        other = [w for w in words if w not in held]
+        out = dict(zip(other, self._each([w.decode() for w in other]), strict=True))
+        cut = CUT.findall(b" ".join([*plain, b""]).decode().lower())
+        got = list(map(pieces.get, cut))
+        lost = list(compress(range(len(cut)), map(not_, got)))
+        fresh = list({cut[i] for i in lost})
+        new = dict(zip(fresh, self._runs(fresh), strict=True))
+        for i in lost:
+            got[i] = new[cut[i]]
+        self._remember(pieces, new)
+        ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))[np.fromiter(map(" ".__eq__, cut), bool, len(cut))].tolist()
+        packed, k = b"".join(got), self.dtype.itemsize
+        out.update(zip(plain, [packed[a : b - k] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        return [out[w] for w in words]
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Packed ids of each text, end appended."""
         tail, known = np.array([end], self.dtype).tobytes(), self.known
-        split = [t.split() for t in texts]
-        got = [list(map(known.get, words)) for words in split]
-        lost = [i for i, g in enumerate(got) if None in g]
-        fresh = self._new({w for i in lost for w, g in zip(split[i], got[i], strict=True) if g is None})
+        flat, ends = [], []
+        for t in texts:
+            flat += (t if MARK in t or t.translate(None, PLAIN) else t.lower()).split()
+            ends.append(len(flat))
+        got = list(map(known.get, flat))
+        lost = list(compress(range(len(flat)), map(not_, got)))
+        new = list({flat[i] for i in lost})
+        fresh = dict(zip(new, self._new(new), strict=True))
         for i in lost:
-            got[i] = [fresh[w] if g is None else g for w, g in zip(split[i], got[i], strict=True)]
-        for w, ids in fresh.items():
-            if len(known) >= REMEMBER:
-                break
-            if len(w) <= LONGEST:
-                known[w] = ids
-        return [b"".join([*g, tail]) for g in got]
+            got[i] = fresh[flat[i]]
+        self._remember(known, fresh)
+        return [b"".join([*got[a:b], tail]) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _words: dict[str, Words] = {}
 
 
+def forget() -> None:
+    """A worker of a later stage needs no vocabulary."""
+    _words.clear()
+
+
 def words(path: str) -> Words:
     if path not in _words:
         _words[path] = Words(path)
     return _words[path]
 
 
-def _pieces(texts: Iterator[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
+def _pieces(texts: Iterator[bytes], most: int = 1 << 19) -> Iterator[list[bytes]]:
     held, size = [], 0
     for t in texts:
         held.append(t)
@@ -247,7 +277,7 @@ def tokenise(docs: DataFrame, path: str, end: int, bounds: list[int]) -> DataFra
             key = batch.column(0).cast(pa.int64()).fill_null(NULL_ID)
             part = np.searchsorted(edges, key.to_numpy(), side="right").astype(np.int32)
             at = 0
-            for piece in _pieces((t.as_py() or "").encode() for t in batch.column(1)):
+            for piece in _pieces(t.as_py() or b"" for t in batch.column(1).cast(pa.binary())):
                 ids = w.encode(piece, end)
                 yield pa.RecordBatch.from_arrays([pa.array(part[at : at + len(ids)]), key.slice(at, len(ids)), pa.array(ids, pa.binary())], names=["part", "doc_id", "ids"])
                 at += len(ids)
@@ -260,6 +290,7 @@ def _blocks(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, offset, docs, ids, held = None, 0, 0, [], [], 0
+        forget()
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, offset, docs, ids, held
@@ -297,11 +328,12 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
     w = words(path)
     parts = tokenise(docs, path, end, sorted(set(cuts or [])))
     sorted_rows = parts.repartition(n, "part").sortWithinPartitions("part", "doc_id", "ids")
-    plain = settle(sorted_rows.mapInArrow(_blocks(w.dtype.itemsize), BLOCK_ROWS), f"{tag}-plain")
+    plain = settle(sorted_rows.mapInArrow(_blocks(w.dtype.itemsize), BLOCK_ROWS), f"{tag}-plain", LARGE_ROWS)
     kind, size = w.dtype, w.size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
+        forget()
         for batch in batches:
             for i in batch.column(0):
                 total += np.bincount(np.frombuffer(i.as_py(), kind), minlength=len(total))
@@ -309,7 +341,9 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
     counts = np.zeros(size, np.int64)
-    for row in plain.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # a row for each id of the vocabulary at most
+    with batches_of(spark, BLOCKS_AT_ONCE):
+        found = plain.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    for row in found:  # a row for each id of the vocabulary at most
         counts[row.id] = row.n
     table = Table(counts)
 
@@ -321,7 +355,8 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
                 block = encode_block(table, docs_of, lengths, ids, offset)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([block], pa.binary())], names=["part", "seq", "n_tokens", "block"])
 
-    return settle(plain.mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag), table
+    with batches_of(spark, BLOCKS_AT_ONCE):
+        return settle(plain.mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag, LARGE_ROWS | {"compression": "none"}), table
 
 
 def read(files: DataFrame, table: Table) -> DataFrame:
@@ -340,5 +375,7 @@ def read(files: DataFrame, table: Table) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(docs), pa.int32()), doc, pa.array(at + offset, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())], names=["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     rows = files.select("part", "block").mapInArrow(run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    with batches_of(files.sparkSession, BLOCKS_AT_ONCE):
+        rows = settle(rows, "tokens-read")
     rows = rows.join(F.broadcast(starts), F.col("part") == F.col("_part"))
     return rows.select("doc_id", (F.col("ahead") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

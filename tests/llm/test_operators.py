@@ -153,6 +153,17 @@ def test_tokens(docs):
         start += len(ids)
 
 
+def test_words_equal_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    w = rans.Words(path)
+    texts = ["<|endoftext|> a<|startoftext|>b <|STARTOFTEXT|>", "J\u030cx I\u0307 \u00e9 \u00c9's DON'T l'Main ''s !'s \u2019s \u00aa\u00ba\u00b5", "1\u00bd2 \u00d7\u00f7 a\u00d7b \x00\x1c\x1f\x7f a\x85b a\xa0b <| |> </w> a</w>b", "\u017ftra\u00dfe STRASSE \u1e9e \u0130I \u212a \u3000x\u2028y", "\u65e5\u672c\u8a9e", "", "   ", "x" * 300 + " " + "Ab1" * 90]
+    for _ in range(3):  # unknown, met once, remembered
+        got = w.encode([t.encode() for t in texts], 2)
+        assert [np.frombuffer(g, w.dtype).tolist() for g in got] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert w.encode([], 2) == []
+
+
 def test_rans_parts_and_damage():
     rng = np.random.default_rng(1)
     ids = rng.zipf(1.5, 200_000).clip(0, 40_000)

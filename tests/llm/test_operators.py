@@ -125,6 +125,36 @@ def test_lines(spark):
     assert got == want
 
 
+def test_lines_edits_grow_with_length(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(300)]
+    rows = []
+    for n in (14, 17, 20, 22, 25, 60, 150, 150):
+        base = rng.choices(words, k=n)
+        for edits in (0, 1, 2, 3):
+            w = list(base)
+            for _ in range(edits):
+                w[rng.randrange(n)] = rng.choice(words)
+            rows.append((len(rows), " ".join(w)))
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    far = 0
+    for i, a in rows:
+        for j, b in rows[:i]:
+            most = max(2, min(len(a), len(b)) * 5 // 100)
+            if abs(len(a) - len(b)) <= most and (d := lines.edit_distance(a, b, most)) <= most:
+                far += d > 2
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    got = {r.doc_id: list(r.dropped) for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert far > 10 and got == {i: [] if find(i) == i else [0] for i, _ in rows}
+
+
 def test_drop_lines_keeps_columns(docs):
     got = {r.doc_id: r for r in lines.drop_lines(docs).collect()}
     assert got[14].text == TEXTS[14] and got[12].text == "Released under the MIT License." and got[12].n_chars == 31 and got[0].text is None

@@ -9,8 +9,8 @@ it with far less. Copies collapse first by a 128-bit fingerprint of their shingl
 shingles are dealt over pairs of blocks, so no task holds an unbounded group.
 
 Defined cases: a null, empty or blank text has no shingles, stands alone and links with nothing; with fewer words
-than a shingle takes, the whole sequence is the one shingle; repeated rows get equal values; a row whose doc_id is
-null takes part under a null id; other columns are ignored.
+than a shingle takes, the whole sequence is the one shingle; a row whose doc_id is null takes part under a null id, and
+comes after all others; one row of a component is kept, also where rows repeat a doc_id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -118,7 +118,7 @@ def _fingerprints(words: int):
                 key = (sig.reshape(BANDS, ROWS).astype(np.uint64) * PLACE[:ROWS]).sum(axis=1) + salt
                 bands.append(mix64(key).view(np.int64))
                 sigs.append(sig.astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "s1", "s2", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], names=["doc_id", "row", "n_shingles", "s1", "s2", "bands", "sig"])
 
     return run
 
@@ -195,29 +195,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Two documents link when 100 * |intersection| >= percent * |union| of their distinct shingles of that many words.
     """
-    pairs = docs.select("doc_id", "text")
-    marks = settle(pairs.mapInArrow(_fingerprints(words), "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, sig binary"), "marks")
+    rows = settle(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "rows")
+    return _kept_rows(rows, words, percent).drop("row")
+
+
+def _kept_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """near_duplicates, with the row of docs (doc_id, text, row); row tells rows with one doc_id, or none, apart."""
+    pairs = docs.select("doc_id", "text", "row")
+    marks = settle(pairs.mapInArrow(_fingerprints(words), "doc_id long, row long, n_shingles long, s1 long, s2 long, bands array<long>, sig binary"), "marks")
     full = marks.where("n_shingles > 0")
-    sets = settle(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "sets")
+    sets = settle(full.groupBy("s1", "s2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "sets")
     rows = sets.select("s1", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     near = rows.join(shared, "key").join(sets.select("s1", "sig"), "s1")
     near = _tiles(near, "key", F.ceil(F.col("rows") / BLOCK_ROWS)).select("tile", "s1", "sig")
     cluster = components(grouped(near, "tile", _alike, "a long, b long")).withColumnsRenamed({"node": "s1", "label": "cluster"})
-    held = sets.select("s1", "first_id", "n").join(cluster, "s1")
+    held = sets.select("s1", "first.row", "n").join(cluster, "s1")
     sizes = held.groupBy("cluster").agg(F.sum("n").alias("total"))
     held = _tiles(held.join(sizes, "cluster"), "cluster", F.ceil(F.col("total") / BLOCK_SHINGLES))
-    texts = held.select("tile", "s1", F.col("first_id").alias("doc_id")).join(pairs, "doc_id").select("tile", "s1", "text")
+    texts = held.select("tile", "s1", "row").join(pairs, "row").select("tile", "s1", "text")
     links = components(grouped(texts, "tile", _confirm(words, percent), "a long, b long")).withColumnsRenamed({"node": "s1"})
-    nodes = sets.select("s1", "s2", "first_id").join(links, "s1", "left").withColumn("label", F.coalesce("label", "s1"))
-    least = nodes.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    nodes = nodes.join(least, "label").select("s1", "s2", "component_id")
-    out = marks.select("doc_id", "n_shingles", "s1", "s2").join(nodes, ["s1", "s2"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    nodes = sets.select("s1", "s2", "first").join(links, "s1", "left").withColumn("label", F.coalesce("label", "s1"))
+    least = nodes.groupBy("label").agg(F.min("first").alias("least"))
+    nodes = nodes.join(least, "label").select("s1", "s2", "least")
+    out = marks.select("doc_id", "row", "n_shingles", "s1", "s2").join(nodes, ["s1", "s2"], "left")
+    kept = F.coalesce(F.col("row") == F.col("least.row"), F.lit(True))
+    return out.select("row", "doc_id", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"), kept.alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one document of each component, that of the smallest doc_id."""
-    kept = near_duplicates(docs, words, percent).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """docs with one row of each component, that of the smallest doc_id; rows without one come last."""
+    rows = settle(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    kept = _kept_rows(rows, words, percent).where("kept").select("row")
+    return rows.join(kept, "row", "left_semi").select(docs.columns)

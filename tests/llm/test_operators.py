@@ -75,6 +75,18 @@ def test_near_duplicates(docs):
     assert got == {i: (len(s[i]), find(i), find(i) == i) for i in range(len(s))}
 
 
+def test_near_copies_without_ids_and_repeated_rows(spark):
+    other = BASE.replace("w", "v")
+    near = BASE.replace("w59", "x59")
+    rows = [(None, other), (None, "a clean one"), (3, BASE), (3, BASE), (None, near), (5, near), (None, None), (None, other.replace("v59", "y59")), (7, "alone"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in minhash.drop_near_duplicates(docs).collect()]
+    left = [r for r in got if r[1] not in (other, rows[7][1])]
+    assert sorted(left, key=str) == sorted([rows[1], rows[2], rows[6], rows[8], rows[9]], key=str) and len(got) == 6
+    report = [tuple(r) for r in minhash.near_duplicates(docs).collect()]
+    assert len(report) == len(rows) and sum(r[3] for r in report) == 6 and sorted(r[2] for r in report if r[2] is not None) == [3, 3, 3, 3, 7]
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,7 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -18,9 +19,11 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where that is unset."""
+    """The shared folder of the cluster (spark.checkpoint.dir); on a single machine a temporary one where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = f"file://{tempfile.mkdtemp(prefix='lorekit-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/lorekit"
@@ -30,7 +33,17 @@ def settle(df: DataFrame, tag: str, options: dict[str, str] | None = None) -> Da
     """Write df once to the shared folder and read it back: lineage is cut, lost executors recompute nothing before it."""
     path = f"{scratch(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.options(**(options or {})).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.settled_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
@@ -45,6 +58,11 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def packed(df: DataFrame, name: str = "row") -> Column:
+    """All columns of df as one, so that no name of theirs meets another."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns)).alias(name)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit words that spreads every input bit."""
     x = x ^ (x >> np.uint64(32))
@@ -102,26 +120,52 @@ def grouped(df: DataFrame, key: str, fn: Callable[[pa.Table], dict[str, list] |
     return df.repartition(key).sortWithinPartitions(key).mapInArrow(stream, schema)
 
 
+def tiles(df: DataFrame, key: str, id: str, blocks: Column) -> DataFrame:
+    """df with tile, lower: rows of a group of one block keep together; the blocks of a larger group meet two by two.
+
+    lower marks the rows of a tile's lower block. In a tile of two blocks only rows of different blocks need comparing,
+    as every block also meets itself.
+    """
+    df = df.withColumn("_n", F.greatest(blocks.cast("int"), F.lit(1))).withColumn("_k", F.pmod(F.xxhash64(id), F.col("_n")).cast("int"))
+    df = df.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    tile = F.xxhash64(key, F.least("_k", "_j"), F.greatest("_k", "_j"))
+    return df.withColumn("tile", tile).withColumn("lower", F.col("_k") <= F.col("_j")).drop("_n", "_k", "_j")
+
+
+#: A node with more than one in so many of all links counts as a hub; there are at most twice as many hubs.
+HUBS = 1000
+
+
+def _by_node(rows: DataFrame, least: DataFrame, links: int) -> DataFrame:
+    """rows (u, v) with m of least (u, m, n), one row for each node; the few nodes with very many rows never shuffle theirs."""
+    hubs = least.where(F.col("n") > links // HUBS + 64).select("u", F.col("m").alias("_m"))
+    rows = rows.join(F.broadcast(hubs), "u", "left")  # 2 * HUBS rows at most
+    rest = rows.where("_m is null").select("u", "v").join(least.select("u", "m"), "u")
+    return rows.where("_m is not null").select("u", "v", F.col("_m").alias("m")).union(rest.select("u", "v", "m"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b): label is the smallest node it can reach.
 
     Alternating stars: each round is two aggregations and two joins over the links, and the number of rounds follows
-    the logarithm of the longest chain. Links stay distributed; only a row of totals comes to the driver.
+    the logarithm of the longest chain. Links stay distributed; only a row of totals comes to the driver, and what is
+    broadcast are the hubs, whose number is bounded.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = settle(e, "links")
-    before = None
+    before, old = None, []
     while True:
         totals = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(totals) == before:
-            break
-        before = tuple(totals)
-        if not totals[0]:
+        discard(*old)
+        if not totals[0] or tuple(totals) == before:
             break
+        before, links = tuple(totals), totals[0]
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
-        rest = large.join(small, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = least.select("u", F.least("u", "m").alias("m"), "n")
+        large = _by_node(both.where("v > u"), least, links).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        rest = _by_node(large, small, links).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        old = [e]
         e = settle(rest.union(small.select("u", F.col("m").alias("v"))).distinct(), "links")
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekit.llm.common import GOLD, components, grouped, mix64, settle
+from lorekit.llm.common import GOLD, components, discard, grouped, mix64, settle, tiles
 
 BANDS, ROWS = 24, 4
 COORDS = BANDS * ROWS
@@ -183,13 +183,6 @@ def _confirm(words: int, percent: int):
     return run
 
 
-def _tiles(df: DataFrame, key: str, blocks: F.Column) -> DataFrame:
-    """Rows of groups of one block keep their key; larger groups go to every pair of blocks, linked within the pair."""
-    df = df.withColumn("_n", blocks.cast("int")).withColumn("_k", F.pmod(F.xxhash64("s1"), F.col("_n")).cast("int"))
-    other = F.explode(F.when(F.col("_n") > 1, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array(F.lit(0))))
-    return df.withColumn("_j", other).withColumn("tile", F.xxhash64(key, F.least("_k", "_j"), F.greatest("_k", "_j")))
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text).
 
@@ -208,12 +201,12 @@ def _kept_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     rows = sets.select("s1", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     near = rows.join(shared, "key").join(sets.select("s1", "sig"), "s1")
-    near = _tiles(near, "key", F.ceil(F.col("rows") / BLOCK_ROWS)).select("tile", "s1", "sig")
+    near = tiles(near, "key", "s1", F.ceil(F.col("rows") / BLOCK_ROWS)).select("tile", "lower", "s1", "sig")
     cluster = components(grouped(near, "tile", _alike, "a long, b long")).withColumnsRenamed({"node": "s1", "label": "cluster"})
     held = sets.select("s1", "first.row", "n").join(cluster, "s1")
     sizes = held.groupBy("cluster").agg(F.sum("n").alias("total"))
-    held = _tiles(held.join(sizes, "cluster"), "cluster", F.ceil(F.col("total") / BLOCK_SHINGLES))
-    texts = held.select("tile", "s1", "row").join(pairs, "row").select("tile", "s1", "text")
+    held = tiles(held.join(sizes, "cluster"), "cluster", "s1", F.ceil(F.col("total") / BLOCK_SHINGLES))
+    texts = held.select("tile", "lower", "s1", "row").join(pairs, "row").select("tile", "lower", "s1", "text")
     links = components(grouped(texts, "tile", _confirm(words, percent), "a long, b long")).withColumnsRenamed({"node": "s1"})
     nodes = sets.select("s1", "s2", "first").join(links, "s1", "left").withColumn("label", F.coalesce("label", "s1"))
     least = nodes.groupBy("label").agg(F.min("first").alias("least"))

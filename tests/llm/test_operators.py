@@ -105,6 +105,24 @@ def test_edit_distance():
         assert lines.edit_distance(a, b, most) == min(distance(a, b), most + 1)
 
 
+def test_edit_distances_side_by_side():
+    rng = random.Random(13)
+    texts = []
+    for _ in range(300):
+        x = [rng.choice("abé中" if rng.random() < 0.5 else "ab") for _ in range(rng.randint(8, 90))]
+        texts.append("".join(x))
+        for _ in range(rng.randint(0, 9)):
+            at = rng.randrange(len(x))
+            x[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "bb"])
+        texts.append("".join([*x, *"abababab"][: max(8, len(x))]))
+    left, right = np.array([rng.randrange(600) for _ in range(4000)] + list(range(0, 600, 2))), np.array([rng.randrange(600) for _ in range(4000)] + list(range(1, 600, 2)))
+    edits = np.array([rng.choice([2, 3, 5, 7]) for _ in left])
+    got = lines.within(texts, left, right, edits)
+    assert got.tolist() == [distance(texts[a], texts[b]) <= e for a, b, e in zip(left, right, edits.tolist(), strict=True)] and 100 < got.sum() < 4000
+    long = "".join(rng.choices("abcdef", k=900))
+    assert lines.within([long, long[:100] + long[140:], long[:100] + long[150:]], np.array([0, 0, 0]), np.array([1, 1, 2]), np.array([40, 39, 45])).tolist() == [True, False, False]
+
+
 def test_lines(spark):
     rng = random.Random(5)
     stems = ["".join(rng.choices("abcde é中", k=30)) for _ in range(12)]

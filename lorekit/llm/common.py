@@ -6,7 +6,6 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,16 +45,18 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-@contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Arrow batches of so many rows for jobs run inside: rows that are large would else fill memory a batch."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def with_batches(spark: SparkSession, rows: int) -> SparkSession:
+    """A session like spark whose Arrow batches have so many rows: large rows would else fill memory a batch."""
+    other = type(spark)(spark.sparkContext, spark._jsparkSession.cloneSession())
+    other.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return other
+
+
+def resettled(table: DataFrame, spark: SparkSession) -> DataFrame:
+    """A settled table, read in another session."""
+    out = spark.read.schema(table.schema).parquet(table.settled_at)
+    out.settled_at = table.settled_at
+    return out
 
 
 def packed(df: DataFrame, name: str = "row") -> Column:

@@ -7,7 +7,7 @@ the coded words and the ids. A file is the run of blocks of one range of documen
 Spark, so executors share nothing but the folder.
 
 Defined cases: a null or empty text is a document of the end id alone; a null doc_id sorts before all; equal doc_ids
-keep an order by their ids; a document longer than a block makes a block of its own; without documents there are no
+go by a hash of their text; a document longer than a block makes a block of its own; without documents there are no
 blocks; other columns are ignored.
 """
 
@@ -23,11 +23,12 @@ from operator import not_
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lorekit.llm.common import batches_of, settle
+from lorekit.llm.common import discard, resettled, settle, with_batches
 
 SCALE = 18
 LOW = np.uint64(1 << 31)
@@ -36,14 +37,14 @@ BLOCKS_AT_ONCE = 8
 #: Pages are closed by their size after any row: by default only after a hundred, which here makes 50 MB.
 LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 MAGIC = b"RANB"
-REMEMBER, LONGEST = 80_000, 48
+REMEMBER, LONGEST = 200_000, 48
 NULL_ID = -(1 << 63)
 #: ASCII and the letters (with two signs) from U+00C0 to U+00FF in UTF-8: no combining marks, so case can go first.
 PLAIN = bytes([*range(0xC0), 0xC3])
 #: What special tokens begin with; they are matched before case is dropped.
 MARK = b"<|"
-#: Where the vocabulary's tokeniser cuts words, for plain lower-case characters; and the space between words.
-CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]| |[^a-z0-9ß-öø-ÿ ]+")
+#: Where the vocabulary's tokeniser cuts plain lower-case text.
+CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\t-\r ]+")
 
 
 class Table:
@@ -150,11 +151,11 @@ def decode_block(table: Table, block: bytes, only: int | None = None) -> tuple[i
 
 
 class Words:
-    """Ids of white-space separated words, by the tokenizers library, remembered up to a fixed number.
+    """Ids of texts by the tokenizers library, piece by piece, remembered up to a fixed number.
 
-    Valid for tokenisers that drop white space, ignore case and never join words across white space. A word of plain
-    characters (ASCII and the Latin letters of two bytes) is cut where the tokeniser cuts it; its pieces are looked up,
-    and new ones go to the library in runs, past the normaliser and the splitter that have nothing left to do.
+    Valid for tokenisers that drop white space, ignore case and never join words across white space. Words of plain
+    characters (ASCII and the Latin letters of two bytes) are cut where the tokeniser cuts them; new pieces go to the
+    library in runs, past the normaliser and the splitter that have nothing left to do. Any other word goes there whole.
     """
 
     def __init__(self, path: str):
@@ -172,18 +173,17 @@ class Words:
         for word, i in self.tokenizer.get_vocab().items():
             self.last[i] = word.endswith("</w>")
         self.met = bytearray(1 << 22)
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {" ": bytes(self.dtype.itemsize)}
+        self.known: dict[str | bytes, bytes] = {}
 
-    def _remember(self, table: dict, new: dict) -> None:
+    def _remember(self, new: dict[str | bytes, bytes]) -> None:
         """Keep what was met before: most new words never come again. Any hash will do, as it only decides what is kept."""
-        met = self.met
+        met, known = self.met, self.known
         for w, ids in new.items():
-            if len(table) >= REMEMBER:
+            if len(known) >= REMEMBER:
                 break
             h = hash(w) % len(met)
             if met[h] and len(w) <= LONGEST:
-                table[w] = ids
+                known[w] = ids
             met[h] = 1
 
     def _each(self, words: list[str]) -> list[bytes]:
@@ -206,40 +206,33 @@ class Words:
             out += [packed[k * a : k * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         return out
 
-    def _new(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words not remembered."""
-        plain = [w for w in words if not (MARK in w or w.translate(None, PLAIN))]
-        held, pieces = set(plain), self.pieces
-        other = [w for w in words if w not in held]
-        out = dict(zip(other, self._each([w.decode() for w in other]), strict=True))
-        cut = CUT.findall(b" ".join([*plain, b""]).decode().lower())
-        got = list(map(pieces.get, cut))
-        lost = list(compress(range(len(cut)), map(not_, got)))
-        fresh = list({cut[i] for i in lost})
-        new = dict(zip(fresh, self._runs(fresh), strict=True))
-        for i in lost:
-            got[i] = new[cut[i]]
-        self._remember(pieces, new)
-        ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))[np.fromiter(map(" ".__eq__, cut), bool, len(cut))].tolist()
-        packed, k = b"".join(got), self.dtype.itemsize
-        out.update(zip(plain, [packed[a : b - k] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
-        return [out[w] for w in words]
+    def _units(self, text: bytes) -> list[str | bytes]:
+        """Pieces (str) of a text's plain words, and its other words (bytes), in order."""
+        if not (MARK in text or text.translate(None, PLAIN)):
+            return CUT.findall(text.decode().lower())
+        out: list[str | bytes] = []
+        for w in text.split():
+            if MARK in w or w.translate(None, PLAIN):
+                out.append(w)
+            else:
+                out += CUT.findall(w.decode().lower())
+        return out
 
     def encode(self, texts: list[bytes], end: int) -> list[bytes]:
         """Packed ids of each text, end appended."""
-        tail, known = np.array([end], self.dtype).tobytes(), self.known
-        flat, ends = [], []
+        tail, flat, ends = np.array([end], self.dtype).tobytes(), [], []
         for t in texts:
-            flat += (t if MARK in t or t.translate(None, PLAIN) else t.lower()).split()
+            flat += self._units(t)
             ends.append(len(flat))
-        got = list(map(known.get, flat))
+        got = list(map(self.known.get, flat))
         lost = list(compress(range(len(flat)), map(not_, got)))
-        new = list({flat[i] for i in lost})
-        fresh = dict(zip(new, self._new(new), strict=True))
+        new = {flat[i] for i in lost}
+        pieces, words = [w for w in new if isinstance(w, str)], [w for w in new if isinstance(w, bytes)]
+        fresh = dict(zip([*pieces, *words], [*self._runs(pieces), *self._each([w.decode() for w in words])], strict=True))
         for i in lost:
             got[i] = fresh[flat[i]]
-        self._remember(known, fresh)
-        return [b"".join([*got[a:b], tail]) for a, b in zip([0, *ends], ends, strict=False)]
+        self._remember(fresh)
+        return [b"".join(got[a:b]) + tail for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _words: dict[str, Words] = {}
@@ -256,7 +249,7 @@ def words(path: str) -> Words:
     return _words[path]
 
 
-def _pieces(texts: Iterator[bytes], most: int = 1 << 19) -> Iterator[list[bytes]]:
+def _pieces(texts: Iterator[bytes], most: int = 1 << 21) -> Iterator[list[bytes]]:
     held, size = [], 0
     for t in texts:
         held.append(t)
@@ -268,29 +261,12 @@ def _pieces(texts: Iterator[bytes], most: int = 1 << 19) -> Iterator[list[bytes]
         yield held
 
 
-def tokenise(docs: DataFrame, path: str, end: int, bounds: list[int]) -> DataFrame:
-    """part (a range of doc_id), doc_id, ids packed."""
+def _blocks(path: str, end: int):
+    """Rows (doc_id, text) in order, tokenised and gathered to blocks of whole documents; part: the number of the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, edges = words(path), np.array(bounds, np.int64)
-        for batch in batches:
-            key = batch.column(0).cast(pa.int64()).fill_null(NULL_ID)
-            part = np.searchsorted(edges, key.to_numpy(), side="right").astype(np.int32)
-            at = 0
-            for piece in _pieces(t.as_py() or b"" for t in batch.column(1).cast(pa.binary())):
-                ids = w.encode(piece, end)
-                yield pa.RecordBatch.from_arrays([pa.array(part[at : at + len(ids)]), key.slice(at, len(ids)), pa.array(ids, pa.binary())], names=["part", "doc_id", "ids"])
-                at += len(ids)
-
-    return docs.select("doc_id", "text").mapInArrow(run, "part int, doc_id long, ids binary")
-
-
-def _blocks(size: int):
-    """Rows in order of part and doc_id, gathered to blocks of whole documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, offset, docs, ids, held = None, 0, 0, [], [], 0
-        forget()
+        w, part = words(path), TaskContext.get().partitionId()
+        size, seq, offset, docs, ids, held = w.dtype.itemsize, 0, 0, [], [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal seq, offset, docs, ids, held
@@ -301,16 +277,15 @@ def _blocks(size: int):
             return pa.RecordBatch.from_pydict(row, schema=pa.schema(kinds))
 
         for batch in batches:
-            for p, d, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if p != part:
-                    if docs:
+            keys, at = batch.column(0).cast(pa.int64()).fill_null(NULL_ID).to_pylist(), 0
+            for piece in _pieces(t.as_py() or b"" for t in batch.column(1).cast(pa.binary())):
+                for packed in w.encode(piece, end):
+                    docs.append(keys[at])
+                    ids.append(packed)
+                    held += len(packed)
+                    at += 1
+                    if held >= BLOCK * size:
                         yield flush()
-                    part, seq, offset = p, 0, 0
-                docs.append(d)
-                ids.append(i.as_py())
-                held += len(ids[-1])
-                if held >= BLOCK * size:
-                    yield flush()
         if docs:
             yield flush()
 
@@ -324,11 +299,11 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
     """Token files of docs in ascending doc_id order, as rows (part, seq, n_tokens, block), and their table."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.select(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10000)).first()[0] if n > 1 else []
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.repartitionByRange(n, "doc_id", "mark", "row").sortWithinPartitions("doc_id", "mark", "row").select("doc_id", "text")
     w = words(path)
-    parts = tokenise(docs, path, end, sorted(set(cuts or [])))
-    sorted_rows = parts.repartition(n, "part").sortWithinPartitions("part", "doc_id", "ids")
-    plain = settle(sorted_rows.mapInArrow(_blocks(w.dtype.itemsize), BLOCK_ROWS), f"{tag}-plain", LARGE_ROWS)
+    plain = settle(rows.mapInArrow(_blocks(path, end), BLOCK_ROWS), f"{tag}-plain", LARGE_ROWS)
+    few = resettled(plain, with_batches(spark, BLOCKS_AT_ONCE))
     kind, size = w.dtype, w.size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,9 +316,8 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
     counts = np.zeros(size, np.int64)
-    with batches_of(spark, BLOCKS_AT_ONCE):
-        found = plain.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    for row in found:  # a row for each id of the vocabulary at most
+    found = few.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    for row in found.collect():  # a row for each id of the vocabulary at most
         counts[row.id] = row.n
     table = Table(counts)
 
@@ -355,8 +329,9 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
                 block = encode_block(table, docs_of, lengths, ids, offset)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([block], pa.binary())], names=["part", "seq", "n_tokens", "block"])
 
-    with batches_of(spark, BLOCKS_AT_ONCE):
-        return settle(plain.mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag, LARGE_ROWS | {"compression": "none"}), table
+    files = settle(few.mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag, LARGE_ROWS | {"compression": "none"})
+    discard(plain)
+    return resettled(files, spark), table
 
 
 def read(files: DataFrame, table: Table) -> DataFrame:
@@ -374,8 +349,8 @@ def read(files: DataFrame, table: Table) -> DataFrame:
                 doc = pa.array(docs, pa.int64(), mask=docs == NULL_ID)
                 yield pa.RecordBatch.from_arrays([pa.array([part] * len(docs), pa.int32()), doc, pa.array(at + offset, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())], names=["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    rows = files.select("part", "block").mapInArrow(run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long")
-    with batches_of(files.sparkSession, BLOCKS_AT_ONCE):
-        rows = settle(rows, "tokens-read")
-    rows = rows.join(F.broadcast(starts), F.col("part") == F.col("_part"))
+    spark = files.sparkSession
+    few = resettled(files, with_batches(spark, BLOCKS_AT_ONCE)).select("part", "block")
+    rows = settle(few.mapInArrow(run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long"), "tokens-read")
+    rows = resettled(rows, spark).join(F.broadcast(starts), F.col("part") == F.col("_part"))
     return rows.select("doc_id", (F.col("ahead") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

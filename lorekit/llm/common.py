@@ -45,6 +45,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Have the driver collect garbage: shuffle files go once it finds the plans behind settled tables unused."""
+    spark._jvm.System.gc()
+
+
 def with_batches(spark: SparkSession, rows: int) -> SparkSession:
     """A session like spark whose Arrow batches have so many rows: large rows would else fill memory a batch."""
     other = type(spark)(spark.sparkContext, spark._jsparkSession.cloneSession())

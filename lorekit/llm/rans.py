@@ -1,7 +1,7 @@
 """Token files coded by a static range asymmetric numeral system.
 
 One frequency table, counted over all tokens of the corpus, is shared by all blocks. A block holds whole documents,
-about 262,144 tokens, dealt over up to 1024 interleaved lanes; it can be decoded without any other block, and its
+about 524,288 tokens, dealt over up to 2048 interleaved lanes; it can be decoded without any other block, and its
 checkpoints (lane states and word positions every 128 steps) let parts of it be decoded side by side. Checksums cover
 the coded words and the ids. A file is the run of blocks of one range of document ids; files are written and read by
 Spark, so executors share nothing but the folder.
@@ -18,8 +18,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +30,8 @@ from lorekit.llm.common import discard, resettled, settle, with_batches
 
 SCALE = 18
 LOW = np.uint64(1 << 31)
-BLOCK, LANES, STRIDE = 1 << 18, 1024, 128
-BLOCKS_AT_ONCE = 8
+BLOCK, LANES, STRIDE = 1 << 19, 2048, 128
+BLOCKS_AT_ONCE = 4
 #: Pages are closed by their size after any row: by default only after a hundred, which here makes 50 MB.
 LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 MAGIC = b"RANB"
@@ -224,8 +222,10 @@ class Words:
         for t in texts:
             flat += self._units(t)
             ends.append(len(flat))
-        got = list(map(self.known.get, flat))
-        lost = list(compress(range(len(flat)), map(not_, got)))
+        got, lost, at = list(map(self.known.get, flat)), [], -1
+        got.append(None)
+        while (at := got.index(None, at + 1)) < len(flat):
+            lost.append(at)
         new = {flat[i] for i in lost}
         pieces, words = [w for w in new if isinstance(w, str)], [w for w in new if isinstance(w, bytes)]
         fresh = dict(zip([*pieces, *words], [*self._runs(pieces), *self._each([w.decode() for w in words])], strict=True))
@@ -262,19 +262,23 @@ def _pieces(texts: Iterator[bytes], most: int = 1 << 21) -> Iterator[list[bytes]
 
 
 def _blocks(path: str, end: int):
-    """Rows (doc_id, text) in order, tokenised and gathered to blocks of whole documents; part: the number of the task."""
+    """Rows (doc_id, text) in order, tokenised and gathered to blocks of whole documents; part: the number of the task.
+
+    A last row without documents holds the tally of the task's tokens.
+    """
+    kinds = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("offset", pa.int64()), ("docs", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("ids", pa.binary()), ("tally", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, part = words(path), TaskContext.get().partitionId()
-        size, seq, offset, docs, ids, held = w.dtype.itemsize, 0, 0, [], [], 0
+        size, seq, offset, docs, ids, held, total = w.dtype.itemsize, 0, 0, [], [], 0, np.zeros(w.size, np.int64)
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, offset, docs, ids, held
-            n = [len(i) // size for i in ids]
-            row = {"part": [part], "seq": [seq], "offset": [offset], "docs": [docs], "lengths": [n], "ids": [b"".join(ids)]}
-            kinds = [("part", pa.int32()), ("seq", pa.int32()), ("offset", pa.int64()), ("docs", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("ids", pa.binary())]
+            nonlocal seq, offset, docs, ids, held, total
+            n, whole = [len(i) // size for i in ids], b"".join(ids)
+            total += np.bincount(np.frombuffer(whole, w.dtype), minlength=w.size)
+            row = {"part": [part], "seq": [seq], "offset": [offset], "docs": [docs], "lengths": [n], "ids": [whole], "tally": [None]}
             seq, offset, docs, ids, held = seq + 1, offset + sum(n), [], [], 0
-            return pa.RecordBatch.from_pydict(row, schema=pa.schema(kinds))
+            return pa.RecordBatch.from_pydict(row, schema=kinds)
 
         for batch in batches:
             keys, at = batch.column(0).cast(pa.int64()).fill_null(NULL_ID).to_pylist(), 0
@@ -288,11 +292,12 @@ def _blocks(path: str, end: int):
                         yield flush()
         if docs:
             yield flush()
+        yield pa.RecordBatch.from_pydict({"part": [part], "seq": [-1], "offset": [offset], "docs": [[]], "lengths": [[]], "ids": [b""], "tally": [total.tobytes()]}, schema=kinds)
 
     return run
 
 
-BLOCK_ROWS = "part int, seq int, offset long, docs array<long>, lengths array<int>, ids binary"
+BLOCK_ROWS = "part int, seq int, offset long, docs array<long>, lengths array<int>, ids binary, tally binary"
 
 
 def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[DataFrame, Table]:
@@ -310,18 +315,19 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
         total = np.zeros(size, np.int64)
         forget()
         for batch in batches:
-            for i in batch.column(0):
-                total += np.bincount(np.frombuffer(i.as_py(), kind), minlength=len(total))
+            for tally in batch.column(0):
+                total += np.frombuffer(tally.as_py(), np.int64)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
     counts = np.zeros(size, np.int64)
-    found = few.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    found = few.select("tally").where("tally is not null").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     for row in found.collect():  # a row for each id of the vocabulary at most
         counts[row.id] = row.n
     table = Table(counts)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for k in range(batch.num_rows):
                 part, seq, offset, docs_of, lengths, packed = (c[k].as_py() for c in batch.columns)
@@ -329,7 +335,7 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
                 block = encode_block(table, docs_of, lengths, ids, offset)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([block], pa.binary())], names=["part", "seq", "n_tokens", "block"])
 
-    files = settle(few.mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag, LARGE_ROWS | {"compression": "none"})
+    files = settle(few.where("seq >= 0").drop("tally").mapInArrow(code, "part int, seq int, n_tokens long, block binary"), tag, LARGE_ROWS | {"compression": "none"})
     discard(plain)
     return resettled(files, spark), table
 

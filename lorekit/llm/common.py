@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -47,6 +48,7 @@ def discard(*tables: DataFrame) -> None:
 
 def sweep(spark: SparkSession) -> None:
     """Have the driver collect garbage: shuffle files go once it finds the plans behind settled tables unused."""
+    gc.collect()  # Python's frames hold the JVM's
     spark._jvm.System.gc()
 
 

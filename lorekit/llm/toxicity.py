@@ -1,17 +1,23 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A character trigram model is counted over all documents. Spans that look disguised (digits or signs among letters,
-letters repeated three times or more, letters set apart one by one) become lattices of possible letters; a Viterbi
-search under the trigram model and the costs of the channel restores the likeliest text. Words and word beginnings of
-the restored text are looked up in a lexicon that sets labelled toxic texts apart from others, and a logistic model
-over the lexicon gives the score.
+A character model of order four is counted over all documents. Words pass through a noisy channel: letters may be written
+as digits or signs, repeated, or set apart by signs or blanks. A Viterbi search, without a beam, through the lattice of
+possible letters under the character model and the costs of the channel restores the likeliest text. Words and word
+beginnings of the restored text, beside those as written, are looked up in a lexicon that sets labelled toxic texts apart
+from others, and a logistic model over the lexicon gives the score.
+
+Where the search cannot change a text it isn't run. A plain text changes only where leaving out a border or a repeated
+letter is cheaper under the model than its cost in the channel; that is computed for all places of a text at once. The
+search runs over the words around such places, over words with digits or signs beside letters, letters three times in a
+row, and rows of three or more single letters.
 
 Bounds: lexicon and weights are fitted on at most SAMPLE labelled rows (those of smallest hash of their doc_id); the
 lexicon has at most LEXICON entries. Scoring reads whole texts and is the same at every size.
 
 Defined cases: a null or empty text has the score of a text without any lexicon word; without labelled rows of both
 kinds every score is 0; repeated rows get equal scores; a null doc_id is not held out; of several labels for one
-doc_id the highest counts; other columns are ignored, but for the filter, which keeps them.
+doc_id the highest counts, and rows that repeat a labelled doc_id all count; other columns are ignored, but for the
+filter, which keeps them.
 """
 
 from __future__ import annotations
@@ -31,27 +37,28 @@ from lorekit.llm.common import settle
 
 SAMPLE, LEXICON, LEAST = 20_000, 400, 5
 KINDS = 28  # border, a to z, any other letter
+ORDER = 4
 REMEMBER = 200_000
 PIECE = 1 << 20
 #: Letters that a digit or sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
-#: Costs of the channel, in nats.
-COST_LEET, COST_GAP, COST_REPEAT, COST_DROP = 0.7, 0.4, 0.5, 9.0
-BEAM = 24
+#: Costs of the channel, in nats: a letter written as a digit or sign; such a character that is none, or an exclamation
+#: mark that is none; a letter repeated; a blank, or a sign, inside a word.
+COST_LEET, COST_DIGIT, COST_MARK, COST_REPEAT, COST_BLANK, COST_INNER = 0.7, 15.0, 1.0, 4.0, 6.0, 2.0
 WORDS = re.compile(r"[^\W\d_]+")
-APART = re.compile(r"[a-z0-9@$!|+](?:[ .\-_*][a-z0-9@$!|+](?![a-z]))+")
+RUNS = re.compile(r"[a-z0-9@$!|+\x80-\U0010ffff]|[^a-z0-9@$!|+\x80-\U0010ffff]+")
 
 _class = np.zeros(256, np.uint8)
 _class[65:91] = _class[97:123] = np.arange(1, 27)
 _class[128:] = 27
-_letter = (_class > 0) & (_class < 27)
 _leet = np.isin(np.arange(256), [ord(c) for c in LEET])
-_wordy = (_class > 0) | _leet
+_blank = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_first = (np.arange(256) & 0xC0) != 0x80  # not a later byte of a character
 
 
 @dataclass
 class Model:
-    """Trigram costs, lexicon entries with weights, and the bias; small enough to send to every task."""
+    """Costs of the character model, lexicon entries with weights, and the bias; small enough to send to every task."""
 
     costs: np.ndarray
     weights: dict[str, float] = field(default_factory=dict)
@@ -59,105 +66,163 @@ class Model:
     fitted: bool = False
 
 
-def trigram_costs(counts: np.ndarray) -> np.ndarray:
-    """Costs of a character class after two others, smoothed by shorter contexts."""
-    three = counts.reshape(KINDS, KINDS, KINDS).astype(float)
-    one = three.sum(axis=(0, 1)) + 1
+def character_costs(counts: np.ndarray) -> np.ndarray:
+    """Costs of a character class after three others, smoothed by shorter contexts."""
+    four = counts.reshape((KINDS,) * ORDER).astype(float)
+    one = four.sum(axis=(0, 1, 2)) + 1
     one /= one.sum()
-    two = three.sum(axis=0) + 20 * one
+    two = four.sum(axis=(0, 1)) + 20 * one
     two /= two.sum(axis=1, keepdims=True)
-    full = three + 20 * two[None]
-    return -np.log(full / full.sum(axis=2, keepdims=True))
+    three = four.sum(axis=0) + 20 * two[None]
+    three /= three.sum(axis=2, keepdims=True)
+    full = four + 10 * three[None]
+    return -np.log(full / full.sum(axis=3, keepdims=True)).astype(np.float32)
+
+
+def _whole(raw: bytes) -> Iterator[bytes]:
+    """Pieces of a text, cut at blanks."""
+    at = 0
+    while at < len(raw):
+        end = min(len(raw), at + PIECE)
+        while end < len(raw) and raw[end] not in b"\t\n\v\f\r ":
+            end += 1
+        yield raw[at:end]
+        at = end
+
+
+def _kinds(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, and the classes of their characters with their places, runs of borders being one; borders at the ends."""
+    b = np.frombuffer(raw, np.uint8)
+    c = _class[b]
+    keep = _first[b]
+    keep[1:] &= (c[1:] > 0) | (c[:-1] > 0)
+    at = np.flatnonzero(keep)
+    return b, np.r_[np.zeros(3, np.uint8), c[at], np.zeros(3, np.uint8)], np.r_[0, 0, 0, at, [len(b)] * 3]
+
 
+def _grams(s: np.ndarray) -> np.ndarray:
+    """The number of each run of ORDER classes."""
+    s = s.astype(np.int32)
+    return ((s[:-3] * KINDS + s[1:-2]) * KINDS + s[2:-1]) * KINDS + s[3:]
 
-def count_trigrams(docs: DataFrame) -> np.ndarray:
-    """Counts over every document; KINDS ** 3 numbers come to the driver, whatever the size of the corpus."""
+
+def count_grams(docs: DataFrame) -> np.ndarray:
+    """Counts over every document; KINDS ** ORDER numbers come to the driver, whatever the size of the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(KINDS**3, np.int64)
+        total = np.zeros(KINDS**ORDER, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                raw = (text.as_py() or "").encode()
-                for at in range(0, len(raw), PIECE):
-                    c = np.r_[np.zeros(2, np.uint8), _class[np.frombuffer(raw, np.uint8, min(PIECE, len(raw) - at), at)], np.zeros(1, np.uint8)].astype(np.int64)
-                    total += np.bincount(c[:-2] * KINDS * KINDS + c[1:-1] * KINDS + c[2:], minlength=len(total))
+                for raw in _whole((text.as_py() or "").encode()):
+                    np.add.at(total, _grams(_kinds(raw)[1]), 1)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"])
 
-    counts = np.zeros(KINDS**3, np.int64)
-    for row in docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        counts[row.gram] = row.n
-    return counts
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(KINDS**ORDER, np.int64)
+        for batch in batches:
+            total[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
+
+    sums = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    packed = sums.repartition(1).mapInArrow(pack, "counts binary").first()  # a row for each gram at most
+    return np.frombuffer(packed.counts, np.int64) if packed else np.zeros(KINDS**ORDER, np.int64)
 
 
 def _kind(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
+    return 0 if len(c) > 1 else ord(c) - 96 if "a" <= c <= "z" else 27 if ord(c) > 127 else 0
 
 
 def restore(span: str, costs: np.ndarray) -> str:
-    """The likeliest words behind a disguised span: the best path through the lattice of its characters.
+    """The likeliest words behind a lower-case span: the best path through the lattice of its characters.
 
-    Each character may stand for itself, for a letter that it resembles, for a repetition of the letter before, for a
-    border, or for nothing.
+    A letter may stand for itself or for a repetition of the one before; a digit or sign for a letter that it resembles or
+    for a border; anything else for a border or for nothing. A path is given up only if it costs more than the cheapest and any change of its context.
     """
-    paths: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
-    for c in span:
-        own = _kind(c)
-        options = [(c, 0.0)] if own else []
-        options += [(x, COST_LEET) for x in LEET.get(c, "")]
-        if not own:
-            options += [("", COST_GAP if c in " .-_*" else COST_DROP), (" ", 1.0)]
-        after: dict[tuple[int, int, str], tuple[float, str]] = {}
-        for (p, q, last), (cost, text) in paths.items():
-            for x, extra in options:
-                if x == "":
-                    moves = [((p, q, last), cost + extra, text)]
-                elif x == " ":
-                    moves = [((q, 0, ""), cost + extra + costs[p, q, 0], text + " ")] if q else [((p, q, last), cost + extra, text)]
+    flat, bound = costs.reshape(-1), ORDER * float(costs.max())
+    paths: dict[tuple[int, str], tuple[float, tuple | None]] = {(0, ""): (0.0, None)}
+    for c in RUNS.findall(span):
+        own, letters = _kind(c), LEET.get(c, "")
+        options = [(c, own, 0.0)] if own else [(x, ord(x) - 96, COST_LEET) for x in letters]
+        border = None if own else 0.0 if not letters else COST_MARK if c == "!" else COST_DIGIT
+        nothing = None if own or letters else COST_BLANK if any(x.isspace() for x in c) else COST_INNER
+        after: dict[tuple[int, str], tuple[float, tuple | None]] = {}
+        for (context, last), (cost, made) in paths.items():
+            moves = []
+            for x, k, extra in options:
+                gram = context * KINDS + k
+                moves.append(((gram % KINDS**3, x), cost + extra + float(flat[gram]), (made, x)))
+                if own and x == last:
+                    moves.append(((context, last), cost + extra + COST_REPEAT, made))
+            if border is not None:
+                if context % KINDS:
+                    gram = context * KINDS
+                    moves.append(((gram % KINDS**3, ""), cost + border + float(flat[gram]), (made, " ")))
                 else:
-                    k = _kind(x)
-                    moves = [((q, k, x), cost + extra + costs[p, q, k], text + x)]
-                    if x == last:
-                        moves.append(((p, q, last), cost + extra + COST_REPEAT, text))
-                for state, total, made in moves:
-                    if state not in after or after[state][0] > total:
-                        after[state] = (total, made)
-        paths = dict(sorted(after.items(), key=lambda x: x[1][0])[:BEAM]) if len(after) > BEAM else after
-    return min((cost + (costs[p, q, 0] if q else 0.0), text) for (p, q, _), (cost, text) in paths.items())[1].strip()
-
-
-def suspects(text: str) -> list[str]:
-    """The spans of a lower-case text that may be disguised."""
-    raw = text.encode()
-    b = np.frombuffer(raw, np.uint8)
-    if len(b) < 4:
-        return []
-    letter, leet = _letter[b], _leet[b]
-    mixed = np.flatnonzero(leet[:-1] & letter[1:])
-    triple = np.flatnonzero((b[2:] == b[1:-1]) & (b[1:-1] == b[:-2]) & letter[2:])
-    wordy = _wordy[b]
-    some = letter | leet
-    alone = some & ~np.r_[False, wordy[:-1]] & ~np.r_[wordy[1:], False]
-    chain = np.flatnonzero(alone[:-6] & alone[2:-4] & alone[4:-2] & alone[6:]) if len(b) > 6 else ()
-    out, end = [], -1
-    for at in sorted({*mixed.tolist(), *triple.tolist()}):
-        if at < end:
-            continue
-        start = at
-        while start and raw[start - 1] > 32:
-            start -= 1
-        end = at
-        while end < len(raw) and raw[end] > 32:
-            end += 1
-        out.append(raw[start:end].decode("utf-8", "replace").strip(".,;:?'\"()[]{}#%&*-~_<>=/\\"))
-    end = -1
-    for at in chain:
-        if at >= end and (m := APART.match(raw[at : at + 4096].decode("utf-8", "ignore"))):
-            out.append(m[0])
-            end = at + len(m[0].encode())
+                    moves.append(((context, ""), cost + border, made))
+            if nothing is not None and context % KINDS:
+                moves.append(((context, last), cost + nothing, made))
+            for state, total, path in moves:
+                if state not in after or after[state][0] > total:
+                    after[state] = (total, path)
+        least = min(cost for cost, _ in after.values()) + bound
+        paths = {state: x for state, x in after.items() if x[0] <= least}
+    path = min(((cost + (float(flat[context * KINDS]) if context % KINDS else 0.0), made) for (context, _), (cost, made) in paths.items()), key=lambda x: x[0])[1]
+    out = []
+    while path:
+        out.append(path[1])
+        path = path[0]
+    return "".join(reversed(out)).strip()
+
+
+def suspects(text: str, costs: np.ndarray) -> list[str]:
+    """The spans of a lower-case text that the search may change."""
+    out = []
+    for raw in _whole(text.encode()):
+        b, s, at = _kinds(raw)
+        n, flat = len(s), costs.reshape(-1)
+        cost = flat[_grams(s)]  # of the character three places on
+        join = 3 + np.flatnonzero((s[3 : n - 3] == 0) & (s[2 : n - 4] > 0) & (s[4 : n - 2] > 0))
+        joined = np.stack([s[join + d] for d in (-3, -2, -1, 1, 2, 3)]).astype(np.int32)
+        less = sum(flat[((joined[i] * KINDS + joined[i + 1]) * KINDS + joined[i + 2]) * KINDS + joined[i + 3]] for i in range(3))
+        gain = cost[join - 3] + cost[join - 2] + cost[join - 1] + cost[join] - less
+        blanks = np.r_[0, np.cumsum(_blank[b])]
+        wide = blanks[at[join + 1]] > blanks[at[join]]
+        single = (s[join - 2] == 0) & (s[join + 2] == 0)
+        places = [at[join[gain > np.where(wide, COST_BLANK, COST_INNER)]], at[join[1:-1][single[1:-1] & single[:-2] & single[2:]]]]
+        twice = 3 + np.flatnonzero((s[3 : n - 3] == s[2 : n - 4]) & (s[3 : n - 3] > 0) & (s[3 : n - 3] < 27))
+        left = np.stack([s[twice + d] for d in (-3, -2, -1, 1, 2, 3)]).astype(np.int32)
+        less = sum(flat[((left[i] * KINDS + left[i + 1]) * KINDS + left[i + 2]) * KINDS + left[i + 3]] for i in range(3))
+        gain = cost[twice - 3] + cost[twice - 2] + cost[twice - 1] + cost[twice] - less
+        places.append(at[twice[(gain > COST_REPEAT) | (s[twice - 1] == s[twice - 2])]])
+        letter, leet = _class[b] > 0, _leet[b]
+        places.append(np.flatnonzero((leet[:-1] & letter[1:]) | (letter[:-1] & leet[1:])))
+        lone = (letter | leet) & np.r_[True, _blank[b[:-1]]] & np.r_[_blank[b[1:]], True]
+        if lone.any():
+            alone = np.flatnonzero(lone)
+            near = np.diff(alone) <= 4
+            row = np.r_[near, False] & np.r_[False, near]
+            places.append(alone[row])
+        out += _spans(raw, np.unique(np.concatenate(places)), blanks)
     return out
 
 
+def _spans(raw: bytes, places: np.ndarray, blanks: np.ndarray) -> list[str]:
+    """The words around the places, as texts; words around one place, or touching, are one span."""
+    if not len(places):
+        return []
+    is_blank = blanks[1:] > blanks[:-1]
+    edge = np.flatnonzero(np.r_[True, is_blank[1:] != is_blank[:-1], True])  # runs of blanks and of others
+    run = np.searchsorted(edge, places, side="right") - 1
+    first = np.where(is_blank[np.minimum(edge[run], len(is_blank) - 1)], run - 1, run)
+    last = np.where(is_blank[np.minimum(edge[run], len(is_blank) - 1)], run + 1, run)
+    first, last = np.maximum(first, 0), np.minimum(last, len(edge) - 2)
+    start, end = edge[first], edge[last + 1]
+    reach = np.maximum.accumulate(end)
+    new = np.r_[True, start[1:] >= reach[:-1]]
+    return [raw[a:z].decode("utf-8", "replace") for a, z in zip(start[new].tolist(), np.maximum.reduceat(end, np.flatnonzero(new)).tolist(), strict=True)]
+
+
 class Reader:
     """Words of texts, disguised ones restored; remembers spans and words up to a fixed number."""
 
@@ -167,13 +232,14 @@ class Reader:
     def words(self, text: str | None) -> set[str]:
         low = (text or "").lower()
         out = set(WORDS.findall(low))
-        for span in suspects(low):
+        for span in suspects(low, self.costs):
             made = self.spans.get(span)
             if made is None:
-                made = restore(span, self.costs)
+                once = restore(span, self.costs)
+                made = WORDS.findall(f"{once} {restore(once, self.costs)}")  # letters that were digits may be repetitions
                 if len(self.spans) < REMEMBER:
                     self.spans[span] = made
-            out.update(WORDS.findall(made))
+            out.update(made)
         return out
 
 
@@ -184,7 +250,7 @@ def entries(word: str) -> list[str]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows of docs; labels: doc_id, toxic."""
-    model = Model(trigram_costs(count_trigrams(docs)))
+    model = Model(character_costs(count_grams(docs)))
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")  # SAMPLE rows at most

@@ -336,12 +336,59 @@ def test_targets_share_the_excess(spark):
     assert got == pytest.approx({"a": 30.0, "b": 1480 * 2 / 3, None: 1480 / 3})
 
 
+def test_restore_finds_the_cheapest_path():
+    """Against every path through the lattice of short spans, under random costs."""
+    rng, gen = random.Random(21), np.random.default_rng(21)
+    costs = gen.exponential(3.0, (toxicity.KINDS,) * 4).astype(np.float32)
+
+    def cost_of(path):
+        total, seen = 0.0, [0, 0, 0]
+        for c, extra in path:
+            total += extra
+            if c is not None and (c != " " or seen[-1]):
+                seen.append(toxicity._kind(c) if c != " " else 0)
+                total += float(costs[seen[-4], seen[-3], seen[-2], seen[-1]])
+        return total + (float(costs[seen[-3], seen[-2], seen[-1], 0]) if seen[-1] else 0.0)
+
+    def paths(chars, last):
+        if not chars:
+            return [[]]
+        c, out = chars[0], []
+        letters = toxicity.LEET.get(c, "")
+        if c.isalpha():
+            out += [[(c, 0.0), *p] for p in paths(chars[1:], c)]
+            if c == last:
+                out += [[(None, toxicity.COST_REPEAT), *p] for p in paths(chars[1:], last)]
+            return out
+        for x in letters:
+            out += [[(x, toxicity.COST_LEET), *p] for p in paths(chars[1:], x)]
+        border = 0.0 if not letters else toxicity.COST_MARK if c == "!" else toxicity.COST_DIGIT
+        out += [[(" ", border), *p] for p in paths(chars[1:], "")]
+        if not letters:
+            out += [[(None, toxicity.COST_BLANK if c == " " else toxicity.COST_INNER), *p] for p in paths(chars[1:], last)]
+        return out
+
+    for _ in range(150):
+        span = "".join(rng.choice("aabs0156!$ -é") for _ in range(rng.randint(1, 7)))
+        span = re.sub(r"[ -]+", lambda m: m[0][0], span).strip(" -")
+        best = min((cost_of(p) for p in paths(span, "")), default=0.0)
+        found = {"".join(c for c, _ in p if c is not None) for p in paths(span, "") if abs(cost_of(p) - best) < 1e-4}
+        assert re.sub(" +", " ", toxicity.restore(span, costs)).strip() in {re.sub(" +", " ", f).strip() for f in found}, span
+
+
 def test_toxicity(spark):
-    model = toxicity.Model(toxicity.trigram_costs(np.ones(toxicity.KINDS**3)))
-    assert toxicity.suspects("you stuuuupid, l0ser and i d i o t here") == ["stuuuupid", "l0ser", "i d i o t"]
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
-    assert [toxicity.restore(x, model.costs) for x in ("l0ser", "stuuuupid", "$tup1d", "i d i o t")] == ["loser", "stupid", "stupid", "idiot"]
+    disguised = {
+        "a55": "ass", "a$$": "ass", "hat3": "hate", "stuupid": "stupid", "stu pid": "stupid", "stu-pid": "stupid", "s  t  u  p  i  d": "stupid", "l0ser": "loser", "l00ser": "loser",
+        "stuuuupid": "stupid", "$tup1d": "stupid", "i d i o t": "idiot", "s.t.u.p.i.d": "stupid", "idi07": "idiot",
+    }
+    reader = toxicity.Reader(model)
+    for span, word in disguised.items():
+        assert word in reader.words(f"The one, {span} and that") and word in reader.words(span), span
+    assert toxicity.suspects("the and of that", model.costs) == [] and "ethe" not in reader.words("the\n" * 300_000 + "x")
+    plain = "one of the " * 200_000
+    assert "stupid" in reader.words(plain + "s t u p i d " + plain)
     rows = toxicity.score(docs, model).join(labels, "doc_id").where(toxicity.held_out()).collect()
     bad, good = [r for r in rows if r.toxic], [r for r in rows if not r.toxic]
     assert sum(r.predicted for r in bad) >= 0.8 * len(bad) and sum(r.predicted for r in good) <= 0.01 * len(good)

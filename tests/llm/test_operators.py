@@ -53,6 +53,31 @@ def test_empty_tables(spark, empty):
     assert [f.count() for f in frames] == [0] * len(frames)
 
 
+def test_components(spark):
+    """Chains, stars with the hub as least, middle and largest node, and random links."""
+    from lorekit.llm.common import components
+
+    rng = random.Random(17)
+    order = rng.sample(range(10_000, 10_400), 400)
+    edges = [*zip(order, order[1:], strict=False), *((7, i) for i in range(20_000, 20_900)), *((25_000, i) for i in range(24_000, 26_000, 2) if i != 25_000), *((39_999, i) for i in range(39_000, 39_900)), (1, 1)]
+    edges += [(rng.randrange(50_000, 51_000), rng.randrange(50_000, 51_000)) for _ in range(600)]
+    edges += [(-5, 7), (26_000, 39_999)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(rows) == len({r.node for r in rows}) and {r.node: r.label for r in rows} == {x: find(x) for x in parent}
+
+
 def test_near_duplicates(docs):
     def sets(t):
         w = (t or "").encode().lower().split()

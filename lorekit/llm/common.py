@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import json
 import re
 import tempfile
 import uuid
@@ -11,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -144,64 +146,15 @@ def tiles(df: DataFrame, key: str, id: str, blocks: Column) -> DataFrame:
 HUBS = 1000
 
 
-def _links_of(key: np.ndarray, least: np.ndarray, other: np.ndarray, large: bool) -> pa.RecordBatch:
-    """What a node tells its neighbours: in a large star the larger ones of the least, in a small star all."""
-    if large:
-        keep = other > key
-        u, v = other[keep], least[keep]
-    else:
-        keep = other > least
-        u, v = np.r_[other[keep], key[other == least]], np.r_[least[keep], least[other == least]]
-    return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
-
-def _stars(large: bool):
-    """Stars of sorted rows (u, v): nodes stream through, whatever their number of neighbours."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, its, had = None, None, None
-        for batch in batches:
-            u, v = (c.to_numpy() for c in batch.columns)
-            if not len(u):
-                continue
-            fresh = np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])]
-            fresh[0] = u[0] != node or v[0] != had
-            start = np.r_[True, u[1:] != u[:-1]]
-            least = np.minimum(v, u)[np.maximum.accumulate(np.where(start, np.arange(len(u)), 0))]
-            if u[0] == node:
-                least[u == node] = its
-            node, its, had = u[-1], least[-1], v[-1]
-            yield _links_of(u[fresh], least[fresh], v[fresh], large)
-
-    return run
-
-
-def _from_hubs(hubs: dict[int, int], chosen: bool):
-    """Rows (u, v) whose u is no hub; or, if chosen, what hubs (with their least neighbour) tell their neighbours."""
-    known = np.array(sorted(hubs), np.int64)
-    least = np.array([hubs[h] for h in sorted(hubs)], np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u, v = (c.to_numpy() for c in batch.columns)
-            at = np.minimum(np.searchsorted(known, u), len(known) - 1)
-            on = known[at] == u
-            if chosen:
-                yield _links_of(u[on], least[at[on]], v[on], True)
-            else:
-                yield batch.filter(pa.array(~on))
-
-    return run
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b): label is the smallest node it can reach.
 
-    Alternating stars: a round deals the links by their nodes twice, and the number of rounds follows the logarithm of the
-    longest chain. Nodes stream through sorted partitions. Links of hubs, in the large stars, stay where they are: the
-    driver takes the least neighbour of each hub, whose number is bounded, and a row of totals, nothing else.
+    Alternating stars: a node tells its larger neighbours of its least one, then all smaller ones. A round deals the links
+    by their nodes twice, and the number of rounds follows the logarithm of the longest chain. Links of hubs, in the
+    large stars, stay where they are: the driver takes the least neighbour of each hub, whose number is bounded, and a
+    row of totals, nothing else.
     """
-    kind = "u long, v long"
+    spark, each = edges.sparkSession, W.partitionBy("u")
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = settle(e, "links")
     before, old = None, []
@@ -213,12 +166,15 @@ def components(edges: DataFrame) -> DataFrame:
         before = tuple(totals)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         many = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).where(F.col("n") > totals[0] // HUBS + 64)
-        hubs = {r.u: min(r.u, r.m) for r in many.collect()}  # 2 * HUBS rows at most
-        rest = both.mapInArrow(_from_hubs(hubs, False), kind) if hubs else both
-        large = rest.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_stars(True), kind)
+        hubs = [{"u": r.u, "m": min(r.u, r.m)} for r in many.collect()]  # 2 * HUBS rows at most
+        rest, told = both, None
         if hubs:
-            large = large.union(both.mapInArrow(_from_hubs(hubs, True), kind))
-        small = large.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_stars(False), kind)
+            known = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(hubs)), "array<struct<u:long,m:long>>"))))
+            rest = both.join(known, "u", "left_anti")
+            told = both.join(known, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = rest.withColumn("m", F.least("u", F.min("v").over(each))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.union(told) if hubs else large).withColumn("m", F.min("v").over(each))
+        pairs = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
         old = [e]
-        e = settle(small.distinct(), "links")
+        e = settle(small.select(F.inline(pairs)).where("u <> v").distinct(), "links")
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lorekit.llm.common import settle
+from lorekit.llm.common import packed, settle
 
 BITS = 5
 
@@ -59,46 +59,70 @@ def curve(dims: list[Column]) -> Column:
     return F.pandas_udf(place, T.LongType())(*dims)
 
 
-def cells() -> list[Column]:
-    """Language, source and size of a document, each as a number of BITS bits."""
-    wide = 1 << BITS
-    named = [F.when(F.col(c).isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.lit(wide))).cast("int") for c in ("lang", "source")]
-    return [*named, F.least(F.lit(wide - 1), F.floor(2 * F.log2(F.col("size") + 1)) - 8).cast("int")]
+def _cuts(docs: DataFrame, column: str) -> list[str]:
+    """The least value of each cell: distinct values in order, as many to a cell, or one where there are few."""
+    values = docs.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    by = W.orderBy(column)  # distinct values, not rows
+    cell = F.floor((F.row_number().over(by) - 1) * (1 << BITS) / F.greatest(F.count(F.lit(1)).over(W.partitionBy()), F.lit(1 << BITS)))
+    ranked = values.select(F.col(column).alias("value"), cell.alias("cell")).groupBy("cell").agg(F.min("value").alias("value"))
+    return sorted(r.value for r in ranked.collect())  # a row for each cell
+
+
+def cells(docs: DataFrame) -> list[Column]:
+    """Language, source and size of a document, each as a number of BITS bits that grows with the value."""
+
+    def named(column: str) -> Column:
+        cuts = _cuts(docs, column)
+        below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= F.col(column))) - 1 if cuts else F.lit(0)
+        return F.coalesce(F.when(F.col(column).isNotNull(), below), F.lit(0))
+
+    return [named("lang"), named("source"), F.least(F.lit((1 << BITS) - 1), F.floor(2 * F.log2(F.col("size") + 1)) - 8).cast("int")]
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 40, dims: list[Column] | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, and curve: each row's place among the cells."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, and curve: each row's place among the cells.
+
+    dims: numbers below 2**BITS, expressions over the columns of docs and size.
+    """
+    rows = docs if dims else docs.select("doc_id", "text", "lang", "source")
+    return _place(rows.withColumn("_row", F.lit(0).cast("long")), shards, dims).drop("_row")
+
+
+def _place(docs: DataFrame, shards: int, dims: list[Column] | None) -> DataFrame:
+    """hilbert_shards, with the column _row of docs, which sets apart rows that are alike in all else."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     rows = docs.withColumn("size", F.octet_length(text).cast("long") + 16)
-    dims = [F.greatest(F.lit(0), d) for d in dims or cells()]
-    rows = rows.select("doc_id", "size", F.crc32(text.cast("binary")).alias("text_crc32"), curve(dims).alias("curve"))
+    dims = [F.greatest(F.lit(0), d) for d in dims or cells(docs)]
+    rows = rows.select("_row", "doc_id", "size", F.crc32(text.cast("binary")).alias("text_crc32"), curve(dims).alias("curve"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["curve", "text_crc32", "doc_id", "size"]
+    order = ["curve", "text_crc32", "doc_id", "size", "_row"]
     placed = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
     part, seat = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    placed = settle(placed.select("doc_id", "size", "text_crc32", "curve", part.alias("part"), seat.alias("seat")), "curve")
+    placed = settle(placed.select("_row", "doc_id", "size", "text_crc32", "curve", part.alias("part"), seat.alias("seat")), "curve")
     counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(W.partitionBy()).alias("total"))
     out = placed.join(F.broadcast(starts), "part")  # a row for each shuffle partition
     rank, short, more = F.col("start") + F.col("seat"), F.floor(F.col("total") / shards), F.col("total") % shards
-    out = out.select("doc_id", "size", "text_crc32", "curve", rank.alias("rank"), short.alias("short"), more.alias("more"))
+    out = out.select("_row", "doc_id", "size", "text_crc32", "curve", rank.alias("rank"), short.alias("short"), more.alias("more"))
     long = F.col("more") * (F.col("short") + 1)
     late = F.greatest(F.col("short"), F.lit(1))
     shard = F.when(F.col("rank") < long, F.floor(F.col("rank") / (F.col("short") + 1))).otherwise(F.col("more") + F.floor((F.col("rank") - long) / late))
     slot = F.when(F.col("rank") < long, F.col("rank") % (F.col("short") + 1)).otherwise((F.col("rank") - long) % late)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
-
-
-def manifest(docs: DataFrame, placed: DataFrame, columns: list[str]) -> DataFrame:
-    """For each shard its rows, bytes and the least and greatest value of each column, for a reader to prune by."""
-    ends = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
-    return docs.select("doc_id", *columns).join(placed.select("doc_id", "shard", "size"), "doc_id").groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), *ends)
-
-
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """One folder of Parquet files for each shard, rows in slot order."""
-    rows = docs.join(placed.select("doc_id", "shard", "slot"), "doc_id")
+    return out.select("_row", "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 40, columns: tuple[str, ...] = ("lang", "source")) -> DataFrame:
+    """docs as Parquet under path, one folder of files for each shard (column `shard` in the folder's name, which docs must
+    not have), rows in slot order. Returns the manifest: for each shard its rows, bytes and the least and greatest value
+    of each of columns, for a reader to prune by. Each row is written once, also where rows repeat a doc_id or have none."""
+    if "shard" in map(str.lower, docs.columns):
+        raise ValueError("the files' folders are named by shard")
+    rows = settle(docs.select(packed(docs), F.monotonically_increasing_id().alias("_row")), "rows")
+    placed = settle(_place(rows.select("_row", "row.doc_id", "row.text", "row.lang", "row.source"), shards, None).select("_row", "shard", "slot", F.col("size").alias("bytes")), "placed")
+    rows = rows.join(placed, "_row")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    rows.repartitionByRange(n, "shard", "slot").sortWithinPartitions("shard", "slot").select("row.*", "shard").write.partitionBy("shard").parquet(path)
+    ends = [f(f"row.{c}").alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
+    return rows.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"), *ends)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekit.llm.common import GOLD, components, discard, grouped, mix64, settle, tiles
+from lorekit.llm.common import GOLD, components, discard, grouped, mix64, packed, settle, tiles
 
 BANDS, ROWS = 24, 4
 COORDS = BANDS * ROWS
@@ -217,7 +217,10 @@ def _kept_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each component, that of the smallest doc_id; rows without one come last."""
-    rows = settle(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
-    kept = _kept_rows(rows, words, percent).where("kept").select("row")
-    return rows.join(kept, "row", "left_semi").select(docs.columns)
+    """docs with one row of each component, that of the smallest doc_id; rows without one come last.
+
+    Rows without any shingle all stay; other columns, whatever their names, are kept as they are.
+    """
+    rows = settle(docs.select(packed(docs, "all"), F.monotonically_increasing_id().alias("row")), "rows")
+    kept = _kept_rows(rows.select("all.doc_id", "all.text", "row"), words, percent).where("kept").select("row")
+    return rows.join(kept, "row", "left_semi").select("all.*")

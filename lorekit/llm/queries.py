@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lorekit.llm import bpe, graph, hilbert, licences, lines, minhash, mixing, png, rans, toxicity
+from lorekit.llm import bpe, graph, hilbert, licences, lines, minhash, mixing, oracle, png, rans, toxicity
+from lorekit.llm.common import settle
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return png.describe(png.to_media(documents(spark, sf_dir)))
+    return png.describe(settle(png.to_media(documents(spark, sf_dir)), "media"))
 
 
 def op9_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +58,4 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_edit_join_lines, op2_hilbert_shards, op3_circulant_minhash, op4_rans_tokens, op5_forced_boundary_bpe, op6_source_mixing, op7_toxicity, op8_png_media, op9_pruned_graph, op10_licence_scan)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL

@@ -13,8 +13,6 @@ from lorekit.operators.quality import PASS, gate, quality_score
 from lorekit.schema import FIELDS, MAIN_TYPES, RECORD, barrier
 
 TOP = 12
-#: Up to this many pool records the pool is broadcast; above it, pairs come from equality blocks.
-BROADCAST_ROWS = 5_000
 
 
 def _side(df: DataFrame, order: str, name: str) -> DataFrame:
@@ -22,37 +20,60 @@ def _side(df: DataFrame, order: str, name: str) -> DataFrame:
     return barrier(rows).select(F.struct(*FIELDS, "t_problem", "t_solution", "t_evidence", "t_tasks", "bucket", "q", "place").alias(name))
 
 
-def _blocks(name: str) -> Column:
-    """Keys of which two records share one if they can be recalled.
+def _marks(side: DataFrame, name: str) -> DataFrame:
+    """A row (f, w, place) for each token of the record's texts and task, and for its root and type together."""
+    mark = lambda f: lambda w: F.struct(F.lit(f).alias("f"), w.alias("w"))
+    every = [F.transform(f"{name}.t_{field}", mark(f)) for f, field in (("p", "problem"), ("s", "solution"), ("e", "evidence"), ("t", "tasks"))]
+    kind = F.concat(strip(text(f"{name}.root_cause_type")), F.lit("/"), strip(text(f"{name}.experience_type")))
+    return side.select(F.col(f"{name}.place").alias(name), F.inline(F.concat(*every, F.array(mark("k")(kind)))))
 
-    Without a common task token, root and type, or token of the same field, the similarity is at most 0.18: a bonus
-    for root and one for category. The lowest threshold is 0.20, so nothing is lost.
-    """
-    tag = lambda f: F.transform(F.col(f"{name}.t_{f}"), lambda t: F.concat(F.lit(f"{f}:"), t))
-    root = F.concat(F.lit("root:"), strip(text(f"{name}.root_cause_type")), F.lit("/"), strip(text(f"{name}.experience_type")))
-    return F.concat(tag("tasks"), tag("problem"), tag("solution"), tag("evidence"), F.array(root))
 
+def _facts(side: DataFrame, name: str) -> DataFrame:
+    """What the similarity of a pair needs of each record beside the tokens in common."""
+    alike = [strip(text(f"{name}.{c}")).alias(f"{name}_{c}") for c in ("root_cause_type", "experience_type", "category")]
+    sizes = [F.size(f"{name}.t_{f}").alias(f"{name}_{f[0]}") for f in ("problem", "solution", "evidence")]
+    return side.select(F.col(f"{name}.place").alias(name), *alike, *sizes, text(f"{name}.id").alias(f"{name}_id"), (text(f"{name}.evidence") != "").alias(f"{name}_said"), F.col(f"{name}.q").alias(f"{name}_q"))
 
-def pairs(new: DataFrame, pool: DataFrame, new_order: str = "ord", pool_order: str = "pos", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """n, o: every pair of a new record and a pool record of another id that could be recalled."""
-    n, o = _side(new, new_order, "n"), _side(pool, pool_order, "o")
-    other = text("n.id") != text("o.id")
-    if pool.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return n.join(F.broadcast(o), other)
-    left = n.withColumn("key", F.explode(F.array_distinct(_blocks("n"))))
-    right = o.withColumn("key", F.explode(F.array_distinct(_blocks("o"))))
-    met = left.select("key", F.col("n.place").alias("np")).join(right.select("key", F.col("o.place").alias("op")), "key").select("np", "op").distinct()
-    return met.join(n, F.col("np") == F.col("n.place")).join(o, F.col("op") == F.col("o.place")).where(other).select("n", "o")
 
+def pairs(n: DataFrame, o: DataFrame) -> DataFrame:
+    """n, o (places), o_q, sim, same_task, same_cluster of pairs of a new and a pool record of another id.
 
-def recall(new: DataFrame, pool: DataFrame, top: int = TOP, **options) -> DataFrame:
+    Tokens in common are counted by one join on (field, token), so no pair is compared token by token. A pair without any
+    token, task or kind in common isn't there: its similarity is at most 0.18, below every threshold of recall.
+    """
+    met = _marks(n, "n").join(_marks(o, "o"), ["f", "w"])
+    counts = met.groupBy("n", "o").agg(*(F.count_if(F.col("f") == f).alias(f"both_{f}") for f in "pset"))
+    rows = counts.join(_facts(n, "n"), "n").join(_facts(o, "o"), "o").where("n_id <> o_id")
+
+    def jaccard(f: str) -> Column:
+        both = F.col(f"both_{f}").cast("double")
+        return F.when((F.col(f"n_{f}") == 0) | (F.col(f"o_{f}") == 0), 0.0).otherwise(both / (F.col(f"n_{f}") + F.col(f"o_{f}") - both))
+
+    alike = lambda c: F.col(f"n_{c}") == F.col(f"o_{c}")
+    bonus = lambda test, value: F.when(test, value).otherwise(0.0)
+    same_task = F.col("both_t") > 0
+    total = jaccard("p") * 0.52 + jaccard("s") * 0.33 + F.when(F.col("n_said") & F.col("o_said"), jaccard("e")).otherwise(0.0) * 0.15 + bonus(same_task, 0.12)
+    for column, value in (("root_cause_type", 0.10), ("experience_type", 0.06), ("category", 0.08)):
+        total = total + bonus(alike(column), value)
+    rows = rows.withColumn("sim", F.least(F.lit(1.0), total)).withColumn("same_task", same_task)
+    cluster = alike("root_cause_type") & (same_task | alike("experience_type") | (F.col("sim") >= 0.40))
+    return rows.withColumn("same_cluster", cluster).select("n", "o", "o_q", "sim", "same_task", "same_cluster")
+
+
+def recall(new: DataFrame, pool: DataFrame, top: int = TOP, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
     """n, o, sim, same_task, same_cluster, rank: up to top candidates of each new record, best first."""
-    p = pairs(new, pool, **options).withColumn("sim", S.merge_similarity("n", "o")).withColumn("same_task", S.same_task("n", "o"))
-    p = barrier(p.withColumn("same_cluster", S.same_cluster("n", "o"))).where(F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.20))
-    strong = F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.26)
-    each = W.partitionBy("n.place")
-    p = p.withColumn("strong", strong).withColumn("_any", F.max("strong").over(each)).where(F.col("strong") | ~F.col("_any"))
-    order = each.orderBy(F.desc("same_task"), F.desc("same_cluster"), F.desc("sim"), F.desc("o.q"), "o.place")
+    n, o = _side(new, new_order, "n"), _side(pool, pool_order, "o")
+    best = _best(pairs(n, o), top)
+    best = best.withColumnsRenamed({"n": "_n", "o": "_o"})
+    return best.join(n, F.col("_n") == F.col("n.place")).join(o, F.col("_o") == F.col("o.place")).select("n", "o", "sim", "same_task", "same_cluster", "rank")
+
+
+def _best(met: DataFrame, top: int) -> DataFrame:
+    p = met.where(F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.20))
+    each = W.partitionBy("n")
+    p = p.withColumn("strong", F.col("same_task") | F.col("same_cluster") | (F.col("sim") >= 0.26))
+    p = p.withColumn("_any", F.max("strong").over(each)).where(F.col("strong") | ~F.col("_any"))
+    order = each.orderBy(F.desc("same_task"), F.desc("same_cluster"), F.desc("sim"), F.desc("o_q"), "o")
     return p.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("strong", "_any")
 
 

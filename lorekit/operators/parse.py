@@ -6,37 +6,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lorekit.functions.text import any_in, code_blocks, excerpt, safe_double, strip, text, unfence
-from lorekit.schema import RECORD, RUN_LOG, TASK
+from lorekit.functions.text import any_in, code_blocks, excerpt, module_code, safe_double, strip, text, unfence
+from lorekit.schema import LOOSE, RECORD, RUN_LOG, TASK, typed
 
 SEVERE, NOTABLE = ["high", "critical"], ["medium", "high", "critical"]
 FAILURES = ["compile error", "simulation error", "function error", "mismatch", "timeout", "failed"]
 FEEDBACK_CUES = ["logic", "compile", "simulation", "mismatch", "warning"]
 
 
+#: Marks and patterns of the logs.
+RESPONSE = "(?s)<log>@@response</log>(.*?)<log>@@endresponse</log>"
+SECTION = '(?s)<analysis title="第(\\d+)次优化">(.*?)(?=<analysis title="|### 编译错误|\\z)'
+ERROR_KINDS = (
+    ("compile_error", r"(?s)error:(.*?)(?=\n\n|\n[a-zA-Z])", 1),
+    ("runtime_error", r"(?s)EXCEPTION_ERROR.*?(?=\n\n|\n[a-zA-Z])", 0),
+    ("runtime_error", r"(?s)CN_INVOKE_ERROR.*?(?=\n|\z)", 0),
+)
+STRING_OR_NOT = r'(?s)"(?:\\.|[^"\\])*"?|[^"]+'
+LOOSE_OBJECT = r'(?s)\{\s*"id"\s*:\s*".*?"\s*\}'
+
+
 def responses(c: str = "content") -> Column:
-    return F.regexp_extract_all(text(c), F.lit("(?s)<log>@@response</log>(.*?)<log>@@endresponse</log>"), F.lit(1))
+    return F.regexp_extract_all(text(c), F.lit(RESPONSE), F.lit(1))
 
 
 def iterations(c: str = "content") -> Column:
     """Of each optimisation section its number, stripped text, and whether it holds a code fence."""
-    section = '(?s)<analysis title="第(\\d+)次优化">(.*?)(?=<analysis title="|### 编译错误|\\z)'
-    both = F.arrays_zip(*(F.regexp_extract_all(text(c), F.lit(section), F.lit(g)).alias(n) for g, n in ((1, "iteration"), (2, "body"))))
+    both = F.arrays_zip(*(F.regexp_extract_all(text(c), F.lit(SECTION), F.lit(g)).alias(n) for g, n in ((1, "iteration"), (2, "body"))))
     return F.transform(both, lambda x: F.struct(x["iteration"].cast("int").alias("iteration"), strip(x["body"]).alias("content"), x["body"].contains("```").alias("has_code")))
 
 
 def errors(c: str = "content") -> Column:
     """Errors by kind of pattern, not by place."""
-    kinds = (
-        ("compile_error", r"(?s)error:(.*?)(?=\n\n|\n[a-zA-Z])", 1),
-        ("runtime_error", r"(?s)EXCEPTION_ERROR.*?(?=\n\n|\n[a-zA-Z])", 0),
-        ("runtime_error", r"(?s)CN_INVOKE_ERROR.*?(?=\n|\z)", 0),
-    )
 
     def found(kind: str, regex: str, group: int) -> Column:
         return F.transform(F.regexp_extract_all(text(c), F.lit(regex), F.lit(group)), lambda m: F.struct(F.lit(kind).alias("type"), strip(m).alias("message")))
 
-    return F.concat(*(found(*k) for k in kinds))
+    return F.concat(*(found(*k) for k in ERROR_KINDS))
 
 
 def legacy(logs: DataFrame, c: str = "content") -> DataFrame:
@@ -98,10 +104,16 @@ def segments(logs: DataFrame, c: str = "content") -> DataFrame:
     rows = rows.drop("_audit", "task").withColumn("n_errors", F.size("errors")).withColumn("n_sc_errors", F.size("sc_errors")).withColumn("n_suggestions", F.size("suggestions"))
     rows = rows.withColumn("severities", F.transform("sc_errors", lambda e: F.lower(strip(text(e["severity"])))))
     rows = rows.withColumn("error_count", F.col("n_errors") + F.col("n_sc_errors")).withColumn("priority_score", priority()).withColumn("budget", budget())
-    order = W.partitionBy(*logs.columns[:1]).orderBy(F.desc("priority_score"), "task_idx")
+    rows = rows.withColumn("final_code", module_code("final_output")).withColumn("agent_error", F.when(F.col("has_task_error"), F.element_at("errors", -1)))
+    order = W.partitionBy(file_key(logs)).orderBy(F.desc("priority_score"), "task_idx")
     return rows.withColumn("segment_rank", F.row_number().over(order) - 1)
 
 
+def file_key(df: DataFrame) -> str:
+    """What tells files apart: the path, or where there is none the name, which may repeat in other folders."""
+    return "path" if "path" in df.columns else "source_file"
+
+
 def _points(test: Column, value: int | Column) -> Column:
     return F.when(test, value).otherwise(0)
 
@@ -144,8 +156,9 @@ def budget() -> Column:
     return F.when(clean_pass(), 0).when(F.col("has_task_error"), 2).when(~F.col("passornot"), failed).otherwise(passed)
 
 
-def summary(logs: DataFrame, file: str = "source_file", c: str = "content") -> DataFrame:
+def summary(logs: DataFrame, file: str | None = None, c: str = "content") -> DataFrame:
     """A row for each run log: counts, first outputs, all errors, and the status that takes precedence."""
+    file = file or file_key(logs)
     rows = tasks(logs, c, bare=False)
     check, ver = F.col("task.final_result.check_result"), F.map_entries("task.final_result.check_result.verification")
     own, none = F.col("task.task_id"), F.lit(None).cast("string")
@@ -178,16 +191,16 @@ def status_counts(rows: DataFrame) -> DataFrame:
 
 def repair_newlines(c: Column) -> Column:
     """Raw line breaks inside JSON strings escaped, carriage returns there dropped; quotes and escapes are honoured."""
-    parts = F.regexp_extract_all(c, F.lit(r'(?s)"(?:\\.|[^"\\])*"?|[^"]+'), F.lit(0))
+    parts = F.regexp_extract_all(c, F.lit(STRING_OR_NOT), F.lit(0))
     return F.array_join(F.transform(parts, lambda p: F.when(p.startswith('"'), F.replace(F.replace(p, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit("\\n"))).otherwise(p)), "")
 
 
-PAYLOAD = f"experiences array<{RECORD.simpleString()}>"
+PAYLOAD = f"experiences array<{LOOSE.simpleString()}>"
 
 
 def loose_records(c: Column) -> Column:
     """Records scraped from text that is no JSON: objects that begin with an id and end with a string."""
-    blocks = F.regexp_extract_all(c, F.lit(r'(?s)\{\s*"id"\s*:\s*".*?"\s*\}'), F.lit(0))
+    blocks = F.regexp_extract_all(c, F.lit(LOOSE_OBJECT), F.lit(0))
     grab = lambda b, k: F.nullif(strip(F.regexp_extract(b, rf'(?s)"{k}"\s*:\s*"(.*?)"', 1)), F.lit(""))
     default = {"id": "unknown", "category": "unknown", "importance": "medium"}
 
@@ -210,19 +223,25 @@ def loose_records(c: Column) -> Column:
 def payload_records(response: Column) -> Column:
     """Records of an answer: as it stands, with line breaks repaired, or scraped."""
     s = unfence(response)
-    strictly = lambda x: F.when(F.try_parse_json(x).isNotNull(), F.coalesce(F.from_json(x, PAYLOAD)["experiences"], F.array().cast(f"array<{RECORD.simpleString()}>")))
+    strictly = lambda x: F.when(F.try_parse_json(x).isNotNull(), F.transform(F.coalesce(F.from_json(x, PAYLOAD)["experiences"], F.array().cast(f"array<{LOOSE.simpleString()}>")), typed))
     return F.coalesce(strictly(s), strictly(repair_newlines(s)), loose_records(s))
 
 
 def render(full: bool = False) -> Column:
-    """A segment as text for a prompt; full: with all code, the agent's error and suggestions."""
+    """A segment as text for a prompt: with an excerpt of the code found in its output, else of the output; full: with all
+    of it, the agent's error and the suggestions."""
     lines = lambda a, f: F.array_join(F.transform(a, f), "\n")
     part = lambda title, body: F.when(body != "", F.concat(F.lit(f"\n--- {title} ---\n"), body))
     kind = lambda e: F.concat(F.lit("  ["), F.coalesce(e["type"], F.lit("?")), F.lit("] "))
     head = F.concat(F.lit("=== Task: "), text("task_id"), F.lit(" ===\nStatus: "), text("status"), F.lit(" | Pass: "), F.initcap(F.col("passornot").cast("string")), F.lit(" | Iterations: "), F.col("iterations").cast("string"), F.lit(" | Priority: "), F.col("priority_score").cast("string"))
     audit = lines("sc_errors", lambda e: F.concat(kind(e), F.lit("(severity="), F.coalesce(e["severity"], F.lit("?")), F.lit(") "), text(e["description"])))
-    code = strip(text("final_output")) if full else excerpt("final_output")
-    return F.concat_ws("\n", head, part("Question", text("question")), part("Checker Errors", lines("errors", lambda e: F.concat(kind(e), F.coalesce(e["description"], e["message"], F.lit(""))))), part("Self-Correction Audit Errors", audit), part("Checker Feedback", text("feedback")), part("Suggestions", F.array_join("suggestions", "\n")) if full else F.lit(None), part("Verification", text("verification_detail")), part("Relevant Code Excerpt" if not full else "Code", code))
+    found = F.nullif(text("final_code"), F.lit(""))
+    failed = part("Agent Error", F.when(F.col("agent_error").isNotNull(), F.concat(F.lit("  Type: "), F.coalesce("agent_error.type", F.lit("?")), F.lit("\n  Message: "), F.coalesce("agent_error.description", F.lit("?")))).otherwise(""))
+    if full:
+        code = F.coalesce(part("Final Code", F.coalesce(found, F.lit(""))), part("Final Output", text("final_output")))
+    else:
+        code = part("Relevant Code Excerpt", excerpt(F.coalesce(found, text("final_output"))))
+    return F.concat_ws("\n", head, failed if full else F.lit(None), part("Question", text("question")), part("Checker Errors", lines("errors", lambda e: F.concat(kind(e), F.coalesce(e["description"], e["message"], F.lit(""))))), part("Self-Correction Audit Errors", audit), part("Checker Feedback", text("feedback")), part("Suggestions", F.array_join("suggestions", "\n")) if full else F.lit(None), part("Verification", text("verification_detail")), code)
 
 
 __all__ = ["code_blocks", "legacy", "payload_records", "render", "segments", "status_counts", "summary", "tasks"]

@@ -79,3 +79,20 @@ def merge_similarity(a: str, b: str) -> Column:
 
 def same_cluster(a: str, b: str) -> Column:
     return _alike(a, b, "root_cause_type") & (same_task(a, b) | _alike(a, b, "experience_type") | (merge_similarity(a, b) >= 0.40))
+
+
+def near_groups(df: DataFrame, order: str, group: list[str], least: float) -> DataFrame:
+    """a, b (places, a < b) of records of one group that share so many tokens in one of their texts that its Jaccard
+    similarity may reach least: those that share one of the rarer tokens, of which so similar texts have one in common."""
+    texts = F.array(*(F.struct(F.lit(f).alias("f"), F.col(f"t_{f}").alias("t")) for f in ("problem", "solution", "evidence")))
+    rows = df.select(F.col(order).alias("place"), F.struct(*group).alias("group"), F.inline(texts)).where(F.size("t") > 0)
+    words = rows.select("place", "group", "f", F.size("t").alias("size"), F.explode("t").alias("w"))
+    rarity = words.groupBy("group", "f", "w").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    ranked = words.join(rarity, ["group", "f", "w"]).groupBy("place", "group", "f", "size").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("t"))
+    # Tokens that no other record of the group has come first of all, and count among the rarer ones.
+    keep = F.col("size") - F.ceil(least * F.col("size") - 1e-9) + 1 - (F.col("size") - F.size("t"))
+    rarer = ranked.withColumn("keep", F.greatest(keep, F.lit(0)).cast("int")).select("place", "group", "f", "size", F.explode(F.slice("t", 1, F.col("keep"))).alias("p")).select("place", "group", "f", "size", "p.w")
+    a, b = rarer.alias("a"), rarer.alias("b")
+    same = (F.col("a.group") == F.col("b.group")) & (F.col("a.f") == F.col("b.f")) & (F.col("a.w") == F.col("b.w"))
+    near = (F.col("a.size") >= least * F.col("b.size") - 1e-9) & (F.col("b.size") >= least * F.col("a.size") - 1e-9)
+    return a.join(b, same & near & (F.col("a.place") < F.col("b.place"))).select(F.col("a.place").alias("a"), F.col("b.place").alias("b")).distinct()

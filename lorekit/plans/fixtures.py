@@ -1,4 +1,7 @@
-"""Projections of the driver's tables that put rule vocabulary into them (see FIXTURES.md)."""
+"""Projections of the driver's tables that put rule vocabulary into them (see FIXTURES.md).
+
+A document's whole text is shared out in thirds among problem, solution and evidence.
+"""
 
 CANDIDATES = """
 SELECT d.doc_id AS ord, concat('Lesson ', d.doc_id, ' / ', d.lang) AS id,
@@ -44,21 +47,21 @@ CASE
     WHEN 2 THEN 'Declare every net at module level or'
     WHEN 3 THEN 'Important counter overflow seen in'
     WHEN 4 THEN 'make sure nothing breaks in'
-    WHEN 5 THEN 'Simulation timeout masks the fault in' END, ' ', substr(d.text,1,80)) END AS problem,
+    WHEN 5 THEN 'Simulation timeout masks the fault in' END, ' ', substr(d.text, 1, CAST(floor(length(d.text) / 3) AS INT))) END AS problem,
 concat(CASE (d.n_chars % 17) % 6
     WHEN 0 THEN 'Use an explicit branch and assign defaults for'
     WHEN 1 THEN 'Add one guard bit and compare both pointers in'
     WHEN 2 THEN 'Instantiate the declared pattern and may extend'
     WHEN 3 THEN 'Consider changes around'
     WHEN 4 THEN 'Implement the handshake; comment the style of'
-    WHEN 5 THEN 'Replace the truncated value, then zero-extend' END, ' ', substr(d.text,81,120)) AS solution,
+    WHEN 5 THEN 'Replace the truncated value, then zero-extend' END, ' ', substr(d.text, CAST(floor(length(d.text) / 3) AS INT) + 1, CAST(floor(length(d.text) / 3) AS INT))) AS solution,
 CASE
     WHEN (d.n_chars % 19) % 5 = 4 THEN CAST(NULL AS VARCHAR(200))
     WHEN d.n_chars % 43 = 0 THEN 'seen at t12' ELSE concat(CASE (d.n_chars % 19) % 4
     WHEN 0 THEN 'simulation error at'
     WHEN 1 THEN 'checker mismatch near'
     WHEN 2 THEN 'seen'
-    WHEN 3 THEN 'if unspecified' END, ' ', substr(d.text,201,60)) END AS evidence,
+    WHEN 3 THEN 'if unspecified' END, ' ', substr(d.text, 2 * CAST(floor(length(d.text) / 3) AS INT) + 1)) END AS evidence,
 CASE (d.n_chars % 23) % 5
     WHEN 0 THEN 'high'
     WHEN 1 THEN 'HIGH '

@@ -14,7 +14,7 @@ from lorekit.operators.jaccard_join import similar_pairs
 from lorekit.operators.normalize import normalize, task_bucket
 from lorekit.plans import oracle
 from lorekit.plans.fixtures import CANDIDATES, SEGMENTS
-from lorekit.schema import FIELDS, RECORD, as_records
+from lorekit.schema import FIELDS, RECORD, as_records, barrier
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,23 +106,21 @@ def jaccard_pairs(spark, sf_dir):
     return similar_pairs(table(spark, sf_dir, "documents"), "doc_id", "text", 0.42).withColumn("jaccard", F.round("jaccard", 9))
 
 
-def _group_pairs(spark, sf_dir, keys: list[str]) -> DataFrame:
-    rows = S.with_tokens(prepared(spark, sf_dir)).withColumn("task", X.lowered("task_id"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    return rows.alias("a").join(rows.alias("b"), same & (F.col("a.ord") < F.col("b.ord")))
+def _group_pairs(spark, sf_dir, keys: list[str], least: float) -> DataFrame:
+    rows = barrier(S.with_tokens(prepared(spark, sf_dir)).withColumn("task", X.lowered("task_id")))
+    met = S.near_groups(rows, "ord", keys, least)
+    return met.withColumnsRenamed({"a": "_a", "b": "_b"}).join(rows.alias("a"), F.col("_a") == F.col("a.ord")).join(rows.alias("b"), F.col("_b") == F.col("b.ord"))
 
 
 @query
 def dup_pairs(spark, sf_dir):
-    pairs = _group_pairs(spark, sf_dir, ["bucket", "experience_type", "root_cause_type"])
+    pairs = _group_pairs(spark, sf_dir, ["bucket", "experience_type", "root_cause_type"], 0.42 - 0.13)
     return pairs.where(S.is_duplicate("a", "b")).select(F.col("a.ord").alias("a"), F.col("b.ord").alias("b"), F.round(S.dedup_similarity("a", "b"), 9).alias("similarity"))
 
 
 @query
 def consolidate_pairs(spark, sf_dir):
-    pairs = _group_pairs(spark, sf_dir, ["task", "experience_type", "root_cause_type"]).withColumn("score", S.consolidation_score("a", "b"))
+    pairs = _group_pairs(spark, sf_dir, ["task", "experience_type", "root_cause_type"], 0.46 - 0.15).withColumn("score", S.consolidation_score("a", "b"))
     return pairs.where("score >= 0.46D").select(F.col("a.ord").alias("a"), F.col("b.ord").alias("b"), F.round("score", 9).alias("score"))
 
 

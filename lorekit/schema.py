@@ -1,6 +1,6 @@
 """Record types of the engine."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,16 @@ RUN_LOG = T.StructType([T.StructField("tasks", T.ArrayType(TASK)), *TASK.fields]
 RESPONSES = struct(prompt_kind=TEXT, source_file=TEXT, task_id=TEXT, ord=T.LongType(), response=TEXT)
 
 
+#: Records as they come: a number may be quoted.
+LOOSE = T.StructType([T.StructField(f.name, TEXT) if f.name == "confidence" else f for f in RECORD.fields])
+
+
+def typed(record: Column) -> Column:
+    """A record read as LOOSE, as a RECORD; a confidence that is no number is null. A null record stays null."""
+    number = F.nullif(F.trim(record["confidence"]), F.lit("")).try_cast("double")
+    return F.when(record.isNotNull(), F.struct(*(number.alias(f) if f == "confidence" else record[f].alias(f) for f in FIELDS)))
+
+
 def as_records(df: DataFrame) -> DataFrame:
     """df with every record field: those it lacks are null, those of the constructor's defaults are filled."""
     have = set(df.columns)

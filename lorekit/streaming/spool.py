@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lorekit.plans.pipeline import LessonPipeline
-from lorekit.schema import FIELDS
+from lorekit.schema import FIELDS, typed
 from lorekit.sources import sinks
 from lorekit.sources.readers import CORRUPT
 
@@ -19,7 +19,7 @@ def records(spark: SparkSession, folder: str, files_per_batch: int = 5) -> DataF
     """Spool lines as they arrive: record fields, path and line text."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", "*.jsonl").text(folder)
     rows = lines.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", CORRUPT, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
-    return rows.where(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("path", *(F.col(f"r.{f}").alias(f) for f in FIELDS))
+    return rows.where(F.col("r").isNotNull() & F.col("r._corrupt_record").isNull()).select("path", typed(F.col("r")).alias("r")).select("path", *(F.col(f"r.{f}").alias(f) for f in FIELDS))
 
 
 def start(pipeline: LessonPipeline, folder: str, checkpoint: str, files_per_batch: int = 5) -> StreamingQuery:

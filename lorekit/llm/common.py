@@ -48,6 +48,13 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def salted(rows: DataFrame, one: DataFrame, key: str, spread: str, salts: int = 16) -> DataFrame:
+    """rows joined with one, which has a row for each key: rows of a hot key are dealt over so many tasks."""
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", salt).join(copies, [key, "_salt"]).drop("_salt")
+
+
 def sweep(spark: SparkSession) -> None:
     """Have the driver collect garbage: shuffle files go once it finds the plans behind settled tables unused."""
     gc.collect()  # Python's frames hold the JVM's

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorekit.llm.common import GOLD, components, discard, grouped, mix64, packed, settle, tiles
+from lorekit.llm.common import GOLD, components, discard, grouped, mix64, packed, salted, settle, tiles
 
 BANDS, ROWS = 24, 4
 COORDS = BANDS * ROWS
@@ -210,7 +210,7 @@ def _kept_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     links = components(grouped(texts, "tile", _confirm(words, percent), "a long, b long")).withColumnsRenamed({"node": "s1"})
     nodes = sets.select("s1", "s2", "first").join(links, "s1", "left").withColumn("label", F.coalesce("label", "s1"))
     least = nodes.groupBy("label").agg(F.min("first").alias("least"))
-    nodes = nodes.join(least, "label").select("s1", "s2", "least")
+    nodes = salted(nodes, least, "label", "s1").select("s1", "s2", "least")
     out = marks.select("doc_id", "row", "n_shingles", "s1", "s2").join(nodes, ["s1", "s2"], "left")
     kept = F.coalesce(F.col("row") == F.col("least.row"), F.lit(True))
     return out.select("row", "doc_id", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"), kept.alias("kept"))

@@ -22,10 +22,6 @@ SEGMENT_PROMPT = (
     "root_cause_type, task_scope and confidence. Quote evidence from the record; leave out what it does not show.\n\n"
 )
 LOG_PROMPT = SEGMENT_PROMPT.replace("this record of one task", "this log").replace("{budget}", "{most}")
-MERGE_PROMPT = (
-    "Decide how the new lesson enters the pool beside these candidates. Answer with one JSON object "
-    '{"operations": [{"action": "INSERT|DELETE|REPLACE|MERGE|SKIP", "target_ids": [...], "new_experience": {...}, "reason": "..."}]}.\n\n'
-)
 
 
 class CompletionProvider(Protocol):

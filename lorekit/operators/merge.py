@@ -10,7 +10,14 @@ from lorekit.functions.text import strip, text, unfence
 from lorekit.operators import similarity as S
 from lorekit.operators.normalize import higher_importance, normalize
 from lorekit.operators.quality import PASS, gate, quality_score
-from lorekit.schema import FIELDS, MAIN_TYPES, RECORD, barrier
+from lorekit.schema import FIELDS, LOOSE, MAIN_TYPES, RECORD, barrier, typed
+
+MERGE_PROMPT = (
+    "Decide how the new lesson enters the pool beside these candidates. Answer with one JSON object "
+    '{"operations": [{"action": "INSERT|REPLACE|MERGE|SKIP", "target_ids": [...], "new_experience": {...}, "reason": "..."}]} that holds one '
+    "operation. Prefer MERGE where both have one root cause and task, REPLACE where the new lesson is the better one of the same kind, and "
+    "INSERT only for what no candidate covers.\n\n"
+)
 
 TOP = 12
 
@@ -60,9 +67,16 @@ def pairs(n: DataFrame, o: DataFrame) -> DataFrame:
     return rows.withColumn("same_cluster", cluster).select("n", "o", "o_q", "sim", "same_task", "same_cluster")
 
 
-def recall(new: DataFrame, pool: DataFrame, top: int = TOP, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
-    """n, o, sim, same_task, same_cluster, rank: up to top candidates of each new record, best first."""
+def candidates(new: DataFrame, pool: DataFrame, top: int = TOP, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
+    """n, o (places), sim, same_task, same_cluster, rank: up to top candidates of each new record, best first."""
     n, o = _side(new, new_order, "n"), _side(pool, pool_order, "o")
+    return _best(pairs(n.repartition(F.col("n.place")), o.repartition(F.col("o.place"))), top).drop("o_q")
+
+
+def recall(new: DataFrame, pool: DataFrame, top: int = TOP, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
+    """candidates() with the records themselves in n and o."""
+    # Dealt by place: both sides are computed once, whatever reads them.
+    n, o = _side(new, new_order, "n").repartition(F.col("n.place")), _side(pool, pool_order, "o").repartition(F.col("o.place"))
     best = _best(pairs(n, o), top)
     best = best.withColumnsRenamed({"n": "_n", "o": "_o"})
     return best.join(n, F.col("_n") == F.col("n.place")).join(o, F.col("_o") == F.col("o.place")).select("n", "o", "sim", "same_task", "same_cluster", "rank")
@@ -156,13 +170,11 @@ def strict(prefix: str, new: Column | None = None, kind: Column | None = None, t
     )
 
 
-def decide(new: DataFrame, pool: DataFrame, responses: DataFrame | None = None, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
-    """ord, new_id, best_id, sim, q_new, q_old, op: one operation for each new record, on a snapshot of the pool.
-
-    responses (ord, response) are answers of a model for records that no rule decides; without one, rules decide.
-    """
-    best = recall(new, pool, 1, new_order=new_order, pool_order=pool_order).drop("rank")
-    rows = _side(new, new_order, "n").join(best.select(F.col("n.place").alias("_p"), "o", "sim", "same_task", "same_cluster"), F.col("n.place") == F.col("_p"), "left").drop("_p")
+def _ruled(new: DataFrame, pool: DataFrame, new_order: str, pool_order: str) -> DataFrame:
+    """n with its best candidate o, merged record m, and op where a rule decides."""
+    n, o = _side(new, new_order, "n").repartition(F.col("n.place")), _side(pool, pool_order, "o").repartition(F.col("o.place"))
+    best = _best(pairs(n, o), 1).select(F.col("n").alias("_n"), F.col("o").alias("_o"), "sim", "same_task", "same_cluster")
+    rows = n.join(best, F.col("n.place") == F.col("_n"), "left").join(o, F.col("_o") == F.col("o.place"), "left").drop("_n", "_o")
     rows = rows.withColumn("q_new", F.col("n.q")).withColumn("q_old", F.coalesce("o.q", F.lit(0.0))).withColumn("sim", F.coalesce("sim", F.lit(0.0)))
     rows = merged_pair(rows)
     q_new, q_old, sim = F.col("q_new"), F.col("q_old"), F.col("sim")
@@ -177,7 +189,25 @@ def decide(new: DataFrame, pool: DataFrame, responses: DataFrame | None = None,
         .when(((sim >= 0.68) | (tasked & (sim >= 0.55))) & (q_new >= q_old + 2), _operation("REPLACE", True, _new(), "Rule: stronger overlapping record"))
         .when((sim >= 0.60) & (q_new <= q_old), _operation("SKIP", False, None, "Rule: overlapping and no better"))
     )
-    rows = barrier(rows.withColumn("op", rule))
+    return barrier(rows.withColumn("op", rule))
+
+
+def prompts(new: DataFrame, pool: DataFrame, top: int = TOP, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
+    """ord, prompt for the records that no rule decides: with their candidates, best first."""
+    open_ = _ruled(new, pool, new_order, pool_order).where("op is null").select(F.col("n.place").alias("ord"), F.to_json(_new()).alias("record"))
+    shown = F.struct(*(F.col(f"o.{f}").alias(f) for f in FIELDS))
+    near = recall(new, pool, top, new_order, pool_order).select(F.col("n.place").alias("ord"), F.struct("rank", F.to_json(shown).alias("text")).alias("c"))
+    listed = near.groupBy("ord").agg(F.array_join(F.transform(F.array_sort(F.collect_list("c")), lambda c: c["text"]), ",\n").alias("candidates"))  # top for each
+    prompt = F.concat(F.lit(MERGE_PROMPT + "Candidates:\n["), text("candidates"), F.lit("]\n\nNew lesson:\n"), F.col("record"))
+    return open_.join(listed, "ord", "left").select("ord", prompt.alias("prompt"))
+
+
+def decide(new: DataFrame, pool: DataFrame, responses: DataFrame | None = None, new_order: str = "ord", pool_order: str = "pos") -> DataFrame:
+    """ord, new_id, best_id, sim, q_new, q_old, op: one operation for each new record, on a snapshot of the pool.
+
+    responses (ord, response) are answers of a model for records that no rule decides; without one, rules decide.
+    """
+    rows = _ruled(new, pool, new_order, pool_order)
     if responses is None:
         rows = rows.withColumn("op", F.coalesce("op", strict("NoAnswer")))
     else:
@@ -187,13 +217,13 @@ def decide(new: DataFrame, pool: DataFrame, responses: DataFrame | None = None,
 
 def parse_operations(response: Column) -> Column:
     """operations[] of a model's answer, null if it is no such JSON."""
-    one = f"action string, target_ids array<string>, new_experience {RECORD.simpleString()}, reason string"
+    one = f"action string, target_ids array<string>, new_experience {LOOSE.simpleString()}, reason string"
     return F.from_json(unfence(response), f"operations array<struct<{one.replace(' string', ':string').replace('target_ids array', 'target_ids:array').replace('new_experience struct', 'new_experience:struct')}>>")
 
 
 def _answered(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("_ops", parse_operations(F.col("response")).getField("operations")).withColumn("_op", F.get("_ops", F.lit(0)))
-    rows = rows.withColumn("p", F.col("_op.new_experience"))
+    rows = rows.withColumn("p", typed(F.col("_op.new_experience")))
     action = F.coalesce("_op.action", F.lit("SKIP"))
     rows = rows.withColumn("_action", action).withColumn("_targets", F.coalesce("_op.target_ids", F.array().cast("array<string>"))).withColumn("_why", F.coalesce("_op.reason", F.lit("")))
     rows = repair(rows, "p")

@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import argparse
 import json
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
-from lorekit.plans.config import EngineConfig
+from lorekit.operators.providers import provider_of
+from lorekit.plans.config import EngineConfig, ModelConfig
 from lorekit.plans.pipeline import LessonPipeline
 from lorekit.schema import RESPONSES
 from lorekit.sources import readers
@@ -16,7 +18,10 @@ from lorekit.sources import readers
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lorekit")
-    p.add_argument("--pool", default="pool.json")
+    p.add_argument("--pool", help="one pool file; without it, --pool-target names which of the two below is used")
+    p.add_argument("--core-pool", default="pool_core.json")
+    p.add_argument("--extended-pool", default="pool_extended.json")
+    p.add_argument("--pool-target", choices=["core", "extended"], default="extended")
     p.add_argument("--logs", help="folder of text logs")
     p.add_argument("--runs", help="folder of run logs")
     p.add_argument("--files", nargs="*", default=[])
@@ -31,8 +36,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--export", action="store_true")
     p.add_argument("--export-count", type=int, default=20)
     p.add_argument("--split-pool", action="store_true")
-    p.add_argument("--core-output", default="pool_core.json")
-    p.add_argument("--extended-output", default="pool_extended.json")
+    p.add_argument("--output", help="file for the export")
+    p.add_argument("--no-intermediate", action="store_true", help="no report files")
+    p.add_argument("--max-experiences", type=int, default=10, help="lessons asked for of a whole log")
+    p.add_argument("--api-key")
+    p.add_argument("--api-base", help="chat endpoint that is asked where --responses isn't given")
+    p.add_argument("--model")
+    p.add_argument("--verbose", action="store_true")
     return p
 
 
@@ -40,15 +50,22 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> ob
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("lorekit").getOrCreate()
     answers = spark.read.schema(RESPONSES).json(a.responses) if a.responses else None
-    config = EngineConfig(pool_path=a.pool, max_pool_size=a.max_pool_size, file_batch=a.batch_size, by_segment=not a.whole_logs, report_folder=a.report_folder)
+    pool = a.pool or (a.core_pool if a.pool_target == "core" else a.extended_pool)
+    config = EngineConfig(
+        pool_path=pool, max_pool_size=a.max_pool_size, max_per_log=a.max_experiences, file_batch=a.batch_size, by_segment=not a.whole_logs,
+        report_folder=None if a.no_intermediate else a.report_folder, verbose=a.verbose,
+    )
     engine = LessonPipeline(spark, config, answers)
     if a.split_pool:
-        return engine.split(a.core_output, a.extended_output)
+        return engine.split(a.core_pool, a.extended_pool)
     if a.export:
-        return engine.export(a.export_count)
+        return engine.export(a.export_count, a.output)
     if a.merge_spool:
         return engine.merge_spool(a.spool)
     files = [*a.files, *(readers.run_files(a.runs) if a.runs else []), *(readers.log_files(a.logs) if a.logs else [])]
+    if answers is None:
+        given = {k: v for k, v in (("api_key", a.api_key), ("api_base", a.api_base), ("model", a.model)) if v}
+        engine = engine.ask(files, provider_of(replace(ModelConfig.from_env(), **given)))
     return engine.extract_to_spool(files, a.spool) if a.extract_only else engine.process(files)
 
 

@@ -35,5 +35,5 @@ class EngineConfig:
     max_per_log: int = 10
     file_batch: int = 5
     by_segment: bool = True
-    strict_merge: bool = False
     report_folder: str | None = None
+    verbose: bool = False

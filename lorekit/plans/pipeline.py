@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lorekit.operators import cluster, extract, merge, quality
+from lorekit.operators import cluster, extract, merge, parse, quality
 from lorekit.operators.normalize import normalize
 from lorekit.plans.config import EngineConfig
 from lorekit.schema import FIELDS
@@ -26,6 +28,26 @@ class LessonPipeline:
     def pool(self) -> DataFrame:
         return readers.read_pool(self.spark, self.config.pool_path)
 
+    def prompts(self, files: list[str]) -> DataFrame:
+        """prompt_kind, source_file, path, task_id, ord, prompt: what a model is asked about a batch of files."""
+        logs = readers.whole_files(self.spark, files)
+        parts = parse.segments(logs)
+        none = F.lit(None)
+        whole = logs if not self.config.by_segment else logs.join(parts.select("path").distinct(), "path", "left_anti").select(logs.columns)
+        asked = extract.log_prompts(whole, self.config.max_per_log).select(F.lit("log").alias("prompt_kind"), "source_file", "path", none.cast("string").alias("task_id"), none.cast("long").alias("ord"), "prompt")
+        if self.config.by_segment:
+            own = extract.segment_prompts(parts).select(F.lit("segment").alias("prompt_kind"), "source_file", "path", "task_id", F.col("segment_rank").cast("long").alias("ord"), "prompt")
+            asked = own.unionByName(asked)
+        return asked
+
+    def merge_prompts(self, new: DataFrame) -> DataFrame:
+        """ord, prompt for the records of new that no rule decides against the pool as it is."""
+        return merge.prompts(new, normalize(self.pool()))
+
+    def ask(self, files: list[str], provider) -> LessonPipeline:
+        """This pipeline with a model's answers about the files; provider: a factory, see extract.complete()."""
+        return replace(self, responses=extract.complete(self.prompts(files), provider).drop("prompt").persist())
+
     def extract_batch(self, files: list[str]) -> tuple[DataFrame, DataFrame]:
         """Candidates of a batch of files, consolidated and deduplicated, and the audit of the steps."""
         if self.responses is None:
@@ -38,7 +60,7 @@ class LessonPipeline:
 
     def merge(self, new: DataFrame) -> dict:
         """Merge records (with ord) into the pool file, under a lock that also covers reading it."""
-        with sinks.exclusive(f"{self.config.pool_path}.lock"):
+        with sinks.exclusive(sinks.lock_of(self.config.pool_path)):
             pool = normalize(self.pool())
             if not pool.take(1):
                 # An empty pool takes every record, without gate or cap.
@@ -59,12 +81,24 @@ class LessonPipeline:
         out = []
         for i, batch in enumerate(readers.batches(files, self.config.file_batch)):
             new, audit = self.extract_batch(batch)
-            report = {"batch": i, "files": batch, "audit": [r.asDict() for r in audit.collect()]} | {"merge": self.merge(new)}
-            if self.config.report_folder:
-                sinks.save_json(f"{self.config.report_folder}/batch_{i}.json", report)
-            out.append(report)
+            audit = [r.asDict() for r in audit.collect()]
+            self._report(f"extracted_{i}.json", {"files": batch, "audit": audit}, new)
+            merged = self.merge(new)
+            self._report(f"merge_{i}.json", merged)
+            out.append({"batch": i, "files": batch, "audit": audit, "merge": merged})
+            self._report(f"batch_{i}.json", out[-1])
+        self._report("final_report.json", {"batches": out})
         return out
 
+    def _report(self, name: str, value: dict, records: DataFrame | None = None) -> None:
+        """A report in the folder for them, if there is one; with the records of a batch of files."""
+        if self.config.verbose:
+            print(name, value)
+        if self.config.report_folder:
+            rows = [] if records is None else records.select("ord", F.to_json(F.struct(*FIELDS)).alias("j")).orderBy("ord").toLocalIterator()
+            extra = {} if records is None else {"experiences": [json.loads(r.j) for r in rows]}
+            sinks.save_json(f"{self.config.report_folder}/{name}", value | extra | {"timestamp": datetime.now(timezone.utc).isoformat()})
+
     def extract_to_spool(self, files: list[str], folder: str) -> list[str]:
         made = [sinks.write_spool(self.extract_batch(b)[0], folder, sinks.run_id(b[0])) for b in readers.batches(files, self.config.file_batch)]
         return [m for m in made if m]
@@ -82,8 +116,11 @@ class LessonPipeline:
         sinks.archive(files)
         return {"files": len(files), "invalid_lines": invalid, "merged": True} | result
 
-    def export(self, n: int = 20) -> str:
-        return quality.export_text(self.pool(), n)
+    def export(self, n: int = 20, path: str | None = None) -> str:
+        out = quality.export_text(self.pool(), n)
+        if path:
+            sinks.publish(path, out)
+        return out
 
     def split(self, core: str, extended: str) -> dict:
         return sinks.save_split(readers.read_any_pool(self.spark, self.config.pool_path), core, extended, self.config.pool_path)

@@ -145,8 +145,8 @@ def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query
 def candidate_recall(spark, sf_dir):
-    found = merge.recall(*_halves(spark, sf_dir))
-    return found.select(F.col("n.place").alias("new_ord"), F.col("o.place").alias("old_ord"), "rank", F.round("sim", 9).alias("sim"), "same_task", "same_cluster")
+    found = merge.candidates(*_halves(spark, sf_dir))
+    return found.select(F.col("n").alias("new_ord"), F.col("o").alias("old_ord"), "rank", F.round("sim", 9).alias("sim"), "same_task", "same_cluster")
 
 
 @query

@@ -34,17 +34,42 @@ def save_json(path: str | Path, value: object) -> None:
     publish(path, json.dumps(value, ensure_ascii=False, indent=2))
 
 
-def _entries(df: DataFrame, order: str) -> list[dict]:
-    """Records as JSON objects without nulls; for pools, which their cap bounds."""
-    return [json.loads(r.j) for r in df.select(order, F.to_json(F.struct(*FIELDS)).alias("j")).orderBy(order).collect()]
+def save_pool(pool: DataFrame, path: str, compacted: bool = True, metadata: dict | None = None, order: str = "pos") -> int:
+    """A pool file of the (compacted) records, written as they stream in; returns how many.
+
+    Of records with one id the last one counts, at the first one's place: a compacted pool has each id once.
+    """
+    rows = compact(pool) if compacted else pool.groupBy("id").agg(F.max_by(F.struct(*FIELDS), order).alias("r"), F.min(order).alias("_place")).select("r.*", "_place")
+    order = order if compacted else "_place"
+    path, n = Path(path), 0
+    path.parent.mkdir(parents=True, exist_ok=True)
+    beside = path.with_name(f"{path.name}.{uuid.uuid4().hex[:8]}.tmp")
+    with open(beside, "w", encoding="utf-8") as f:
+        f.write('{\n"experiences": {')
+        for r in rows.select(order, "id", F.to_json(F.struct(*FIELDS)).alias("j")).orderBy(order).toLocalIterator():
+            f.write(f"{',' if n else ''}\n{json.dumps(r.id, ensure_ascii=False)}: {r.j}")
+            n += 1
+        meta = {"last_updated": datetime.now(timezone.utc).isoformat(), "total_experiences": n} | (metadata or {})
+        f.write(f'\n}},\n"history": [],\n"metadata": {json.dumps(meta, ensure_ascii=False)}\n}}\n')
+    os.replace(beside, path)
+    return n
 
 
-def save_pool(pool: DataFrame, path: str, compacted: bool = True, metadata: dict | None = None, order: str = "pos") -> int:
-    """A pool file of the (compacted) records; returns how many."""
-    rows = _entries(compact(pool) if compacted else pool, order)
-    meta = {"last_updated": datetime.now(timezone.utc).isoformat(), "total_experiences": len(rows)}
-    save_json(path, {"experiences": {r["id"]: r for r in rows}, "history": [], "metadata": meta | (metadata or {})})
-    return len(rows)
+def trim_history(pool_path: str, most: int = 2000) -> int:
+    """Keep the last entries of a pool file's history; older ones go to a lines file beside it. Negative: keep all."""
+    with open(pool_path, encoding="utf-8") as f:
+        pool = json.load(f)
+    old = pool.get("history", [])[: -most or None] if most >= 0 else []
+    if old:
+        with open(f"{pool_path}.history.jsonl", "a", encoding="utf-8") as f:
+            f.writelines(json.dumps(x, ensure_ascii=False) + "\n" for x in old)
+        save_json(pool_path, pool | {"history": pool["history"][len(old) :]})
+    return len(old)
+
+
+def lock_of(pool_path: str) -> str:
+    """The lock file of a pool: its name with the suffix .lock."""
+    return str(Path(pool_path).with_suffix(".lock"))
 
 
 def save_split(pool: DataFrame, core_path: str, extended_path: str, source: str) -> dict:
@@ -57,11 +82,11 @@ def save_split(pool: DataFrame, core_path: str, extended_path: str, source: str)
 def run_id(path: str) -> str:
     """The run that a log file belongs to."""
     p = Path(path)
-    if p.parent.name == "tasks":
+    if p.parent.name == "tasks" and p.parent.parent.name:
         return p.parent.parent.name
     if p.stem.startswith("run_"):
         return p.stem
-    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    return datetime.now(timezone.utc).strftime("run_%Y%m%d_%H%M%S")
 
 
 def write_spool(records: DataFrame, folder: str, run: str, order: str = "ord") -> str | None:

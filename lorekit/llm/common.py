@@ -164,23 +164,24 @@ def components(edges: DataFrame) -> DataFrame:
     spark, each = edges.sparkSession, W.partitionBy("u")
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = settle(e, "links")
-    before, old = None, []
-    while True:
-        totals = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    links, old = e.count(), []
+    while links:
+        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        node = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        hub = F.when(F.col("n") > links // HUBS + 64, F.struct("u", F.least("u", "m").alias("m")))
+        # Stars are done when each node is a least one or has one neighbour. Hubs: 2 * HUBS at most.
+        now = node.agg(F.count_if(F.expr("m < u and n > 1")).alias("open"), (F.sum("n") / 2).cast("long").alias("links"), F.collect_list(hub).alias("hubs")).first()
         discard(*old)
-        if not totals[0] or tuple(totals) == before:
+        if not now.open:
             break
-        before = tuple(totals)
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        many = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).where(F.col("n") > totals[0] // HUBS + 64)
-        hubs = [{"u": r.u, "m": min(r.u, r.m)} for r in many.collect()]  # 2 * HUBS rows at most
-        rest, told = both, None
-        if hubs:
-            known = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(hubs)), "array<struct<u:long,m:long>>"))))
+        links, rest, told = now.links, both, None
+        if now.hubs:
+            hubs = json.dumps([{"u": h.u, "m": h.m} for h in now.hubs])
+            known = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(hubs), "array<struct<u:long,m:long>>"))))
             rest = both.join(known, "u", "left_anti")
             told = both.join(known, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = rest.withColumn("m", F.least("u", F.min("v").over(each))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = (large.union(told) if hubs else large).withColumn("m", F.min("v").over(each))
+        small = (large.union(told) if told is not None else large).withColumn("m", F.min("v").over(each))
         pairs = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
         old = [e]
         e = settle(small.select(F.inline(pairs)).where("u <> v").distinct(), "links")

@@ -38,8 +38,10 @@ from lorekit.llm.common import settle
 SAMPLE, LEXICON, LEAST = 20_000, 400, 5
 KINDS = 28  # border, a to z, any other letter
 ORDER = 4
-REMEMBER = 200_000
-PIECE = 1 << 20
+REMEMBER = 100_000
+PIECE, TOGETHER = 1 << 20, 1 << 18
+#: Between texts that are read together: no letter of a word, and nothing that a word could be joined over.
+APART = "\n\u3002\n"
 #: Letters that a digit or sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 #: Costs of the channel, in nats: a letter written as a digit or sign; such a character that is none, or an exclamation
@@ -133,13 +135,13 @@ def _kind(c: str) -> int:
     return 0 if len(c) > 1 else ord(c) - 96 if "a" <= c <= "z" else 27 if ord(c) > 127 else 0
 
 
-def restore(span: str, costs: np.ndarray) -> str:
+def restore(span: str, costs: np.ndarray, dearest: float | None = None) -> str:
     """The likeliest words behind a lower-case span: the best path through the lattice of its characters.
 
     A letter may stand for itself or for a repetition of the one before; a digit or sign for a letter that it resembles or
     for a border; anything else for a border or for nothing. A path is given up only if it costs more than the cheapest and any change of its context.
     """
-    flat, bound = costs.reshape(-1), ORDER * float(costs.max())
+    flat, bound = costs.reshape(-1), ORDER * (float(costs.max()) if dearest is None else dearest)
     paths: dict[tuple[int, str], tuple[float, tuple | None]] = {(0, ""): (0.0, None)}
     for c in RUNS.findall(span):
         own, letters = _kind(c), LEET.get(c, "")
@@ -177,7 +179,12 @@ def restore(span: str, costs: np.ndarray) -> str:
 
 def suspects(text: str, costs: np.ndarray) -> list[str]:
     """The spans of a lower-case text that the search may change."""
-    out = []
+    return [span for _, span in _suspects(text, costs)]
+
+
+def _suspects(text: str, costs: np.ndarray) -> list[tuple[int, str]]:
+    """Such spans, with the places (bytes) of their beginnings."""
+    out, before = [], 0
     for raw in _whole(text.encode()):
         b, s, at = _kinds(raw)
         n, flat = len(s), costs.reshape(-1)
@@ -203,12 +210,13 @@ def suspects(text: str, costs: np.ndarray) -> list[str]:
             near = np.diff(alone) <= 4
             row = np.r_[near, False] & np.r_[False, near]
             places.append(alone[row])
-        out += _spans(raw, np.unique(np.concatenate(places)), blanks)
+        out += _spans(raw, np.unique(np.concatenate(places)), blanks, before)
+        before += len(raw)
     return out
 
 
-def _spans(raw: bytes, places: np.ndarray, blanks: np.ndarray) -> list[str]:
-    """The words around the places, as texts; words around one place, or touching, are one span."""
+def _spans(raw: bytes, places: np.ndarray, blanks: np.ndarray, before: int) -> list[tuple[int, str]]:
+    """The words around the places, as texts; words around one place, or touching, are one span. before: bytes ahead."""
     if not len(places):
         return []
     is_blank = blanks[1:] > blanks[:-1]
@@ -220,28 +228,52 @@ def _spans(raw: bytes, places: np.ndarray, blanks: np.ndarray) -> list[str]:
     start, end = edge[first], edge[last + 1]
     reach = np.maximum.accumulate(end)
     new = np.r_[True, start[1:] >= reach[:-1]]
-    return [raw[a:z].decode("utf-8", "replace") for a, z in zip(start[new].tolist(), np.maximum.reduceat(end, np.flatnonzero(new)).tolist(), strict=True)]
+    return [(before + a, raw[a:z].decode("utf-8", "replace")) for a, z in zip(start[new].tolist(), np.maximum.reduceat(end, np.flatnonzero(new)).tolist(), strict=True)]
 
 
 class Reader:
-    """Words of texts, disguised ones restored; remembers spans and words up to a fixed number."""
+    """Words of texts, disguised ones restored; remembers spans up to a fixed number."""
 
     def __init__(self, model: Model):
-        self.costs, self.spans, self.known = model.costs, {}, {}
+        self.model, self.costs, self.dearest = model, model.costs, float(model.costs.max())
+        self.spans: dict[str, list[str]] = {}
+        self.starts = {e[1:5] for e in model.weights}
+
+    def _restored(self, span: str) -> list[str]:
+        made = self.spans.get(span)
+        if made is None:
+            once = restore(span, self.costs, self.dearest)
+            made = WORDS.findall(f"{once} {restore(once, self.costs, self.dearest)}")  # letters that were digits may be repetitions
+            if len(self.spans) < REMEMBER:
+                self.spans[span] = made
+        return made
 
     def words(self, text: str | None) -> set[str]:
-        low = (text or "").lower()
-        out = set(WORDS.findall(low))
-        for span in suspects(low, self.costs):
-            made = self.spans.get(span)
-            if made is None:
-                once = restore(span, self.costs)
-                made = WORDS.findall(f"{once} {restore(once, self.costs)}")  # letters that were digits may be repetitions
-                if len(self.spans) < REMEMBER:
-                    self.spans[span] = made
-            out.update(made)
+        return next(self.words_of([text]))
+
+    def words_of(self, texts: list[str | None]) -> Iterator[set[str]]:
+        """The words of each text; texts are read together up to TOGETHER characters."""
+        held, size = [], 0
+        for t in texts:
+            held.append((t or "").lower())
+            size += len(held[-1])
+            if size >= TOGETHER:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, texts: list[str]) -> list[set[str]]:
+        out = [set(WORDS.findall(t)) for t in texts]
+        ends = np.cumsum([len(t.encode()) + len(APART.encode()) for t in texts])
+        for at, span in _suspects(APART.join(texts), self.costs) if texts else ():
+            for k, part in enumerate(span.split(APART), int(np.searchsorted(ends, at, side="right"))):
+                out[min(k, len(out) - 1)].update(self._restored(part))
         return out
 
+    def found(self, words: set[str]) -> set[str]:
+        """The lexicon entries that words match; few words have their first four letters in common with any."""
+        return {e for w in words if w[:4] in self.starts for e in entries(w) if e in self.model.weights}
+
 
 def entries(word: str) -> list[str]:
     """What a word may match in the lexicon: itself, or a beginning of 4 to 8 letters."""
@@ -266,8 +298,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             return out
 
         for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = {"", *(e for w in reader.words(text.as_py()) for e in entries(w))}
+            for toxic, words in zip(batch.column(0).to_pylist(), reader.words_of(batch.column(1).to_pylist()), strict=True):
+                found = {"", *(e for w in words for e in entries(w))}
                 both.update(found)
                 if toxic:
                     bad.update(found)
@@ -287,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            found = [sorted({place[e] for w in reader.words(t.as_py()) for e in entries(w) if e in place}) for t in batch.column(1)]
+            found = [sorted({place[e] for w in words for e in entries(w) if e in place}) for words in reader.words_of(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "found"])
 
     table = rows.mapInArrow(every, "toxic int, found array<int>").collect()  # SAMPLE rows of a few numbers
@@ -310,19 +342,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def _score(reader: Reader, model: Model, text: str | None) -> float:
+def scores(reader: Reader, texts: list[str | None]) -> list[float]:
+    """The score of each text."""
+    model, out = reader.model, []
     if not model.fitted:
-        return 0.0
-    found, known, weights = set(), reader.known, model.weights
-    for word in reader.words(text):
-        hits = known.get(word)
-        if hits is None:
-            hits = [e for e in entries(word) if e in weights]
-            if len(known) < REMEMBER:
-                known[word] = hits
-        found.update(hits)
-    z = model.bias + sum(weights[e] for e in sorted(found)) + (weights[""] if found else 0.0)
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+        return [0.0] * len(texts)
+    for words in reader.words_of(texts):
+        found = reader.found(words)
+        z = model.bias + sum(model.weights[e] for e in sorted(found)) + (model.weights[""] if found else 0.0)
+        out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+    return out
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -331,7 +360,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            s = [_score(reader, model, t.as_py()) for t in batch.column(1)]
+            s = scores(reader, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array([int(v >= 0.5) for v in s], pa.int32())], names=["doc_id", "score", "predicted"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
@@ -349,6 +378,6 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model)
         for batch in batches:
-            yield batch.filter(pa.array([_score(reader, model, t.as_py()) < 0.5 for t in batch.column(place)], pa.bool_()))
+            yield batch.filter(pa.array([s < 0.5 for s in scores(reader, batch.column(place).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -214,7 +214,7 @@ def test_pipeline_against_a_sequential_version(spark, tmp_path):
 
     model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
     reader = toxicity.Reader(model)
-    now = [r for r in rows if toxicity._score(reader, model, r[1]) < 0.5]
+    now = [r for r in rows if toxicity.scores(reader, [r[1]])[0] < 0.5]
     assert not any("stupid" in (r[1] or "") for r in now) and {r[0] for r in now} >= {i for i, t in marks if not t}
     from tests.llm.test_operators import line_oracle
 

@@ -412,6 +412,8 @@ def test_toxicity(spark):
     for span, word in disguised.items():
         assert word in reader.words(f"The one, {span} and that") and word in reader.words(span), span
     assert toxicity.suspects("the and of that", model.costs) == [] and "ethe" not in reader.words("the\n" * 300_000 + "x")
+    texts = ["the stu", "pid one", None, "", "stu pid", "i d i", "o t", "l0ser"] * 30
+    assert list(reader.words_of(texts)) == [reader.words(t) for t in texts]
     plain = "one of the " * 200_000
     assert "stupid" in reader.words(plain + "s t u p i d " + plain)
     rows = toxicity.score(docs, model).join(labels, "doc_id").where(toxicity.held_out()).collect()

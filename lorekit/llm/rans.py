@@ -7,7 +7,7 @@ the coded words and the ids. A file is the run of blocks of one range of documen
 Spark, so executors share nothing but the folder.
 
 Defined cases: a null or empty text is a document of the end id alone; a null doc_id sorts before all; equal doc_ids
-go by a hash of their text; a document longer than a block makes a block of its own; without documents there are no
+go by their place in the input; a document longer than a block makes a block of its own; without documents there are no
 blocks; other columns are ignored.
 """
 
@@ -304,8 +304,8 @@ def write(docs: DataFrame, path: str, end: int, tag: str = "tokens") -> tuple[Da
     """Token files of docs in ascending doc_id order, as rows (part, seq, n_tokens, block), and their table."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.repartitionByRange(n, "doc_id", "mark", "row").sortWithinPartitions("doc_id", "mark", "row").select("doc_id", "text")
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    rows = rows.repartitionByRange(n, "doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
     w = words(path)
     plain = settle(rows.mapInArrow(_blocks(path, end), BLOCK_ROWS), f"{tag}-plain", LARGE_ROWS)
     few = resettled(plain, with_batches(spark, BLOCKS_AT_ONCE))

@@ -327,7 +327,7 @@ def test_rans_parts_and_damage():
     table = rans.Table(np.bincount(ids, minlength=49_408))
     block = rans.encode_block(table, [5, 6], [150_000, 50_000], ids, 9)
     assert (rans.decode_block(table, block)[3] == ids).all()
-    parts = sum(rans.decode_block(table, block, k)[3].astype(int) for k in range(2))
+    parts = sum(rans.decode_block(table, block, k)[3].astype(int) for k in range(4))
     assert (parts == ids).all() and int(table.freq.sum()) == 1 << rans.SCALE
     with pytest.raises(ValueError):
         rans.decode_block(table, block[:-1] + bytes([block[-1] ^ 1]))

@@ -153,3 +153,47 @@ h AS (SELECT ord, CASE WHEN importance = 'low' THEN 'low_importance' WHEN catego
 """
 SQL["tier_classify"] = f"{TIER} SELECT ord, CASE WHEN reason = 'general_high_signal' THEN 'core' ELSE 'extended' END AS tier, reason FROM h"
 SQL["tier_reasons"] = f"{TIER} SELECT reason, count(*) AS n FROM h GROUP BY reason"
+
+
+def leaders(group: str, rank: str, test: str) -> str:
+    """Greedy leaders: rows of a group in rank order, each joining the first leader that it resembles."""
+    recursive = BASE.replace("WITH raw AS", "WITH RECURSIVE raw AS", 1)
+    return f"""{recursive}, ranked AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {rank}, ord) AS rk, dense_rank() OVER (ORDER BY {group}) AS g FROM tok),
+hit AS (SELECT b.g, b.rk, list(a.rk) AS early FROM ranked a JOIN ranked b ON a.g = b.g AND a.rk < b.rk WHERE {test} GROUP BY b.g, b.rk),
+turn AS (SELECT r.g, r.rk, h.early FROM ranked r LEFT JOIN hit h ON h.g = r.g AND h.rk = r.rk),
+fold AS (SELECT g, rk, [rk] AS leaders, rk AS lead FROM turn WHERE rk = 1 UNION ALL
+  SELECT t.g, t.rk, CASE WHEN len(list_intersect(f.leaders, coalesce(t.early, []))) = 0 THEN list_append(f.leaders, t.rk) ELSE f.leaders END,
+    coalesce(list_min(list_intersect(f.leaders, coalesce(t.early, []))), t.rk) FROM fold f JOIN turn t ON t.g = f.g AND t.rk = f.rk + 1),
+made AS (SELECT f.g, f.lead, count(*) AS n_members, string_agg(r.id, ',' ORDER BY f.rk) FILTER (f.rk <> f.lead) AS merged_from, CAST(count(DISTINCT r.evidence) AS INTEGER) AS n_evidence
+  FROM fold f JOIN ranked r ON r.g = f.g AND r.rk = f.rk GROUP BY f.g, f.lead)
+SELECT r.ord, r.id, m.n_members, row_number() OVER (PARTITION BY m.g ORDER BY m.lead) - 1 AS leader_rank, m.merged_from, m.n_evidence FROM made m JOIN ranked r ON r.g = m.g AND r.rk = m.lead"""
+
+
+_dup = f"least({d(1.0)}, {weighted(0.55, 0.35, 0.10)} + {d(0.05)} + {d(0.03)} + {d(0.05)}) >= {d(0.52)} - {d(0.10)}"
+_con = f"{weighted(0.5, 0.4, 0.1)} + {d(0.05)} + {d(0.05)} + {d(0.05)} >= {d(0.46)}"
+SQL["dedup"] = leaders("bucket, experience_type, root_cause_type", "quality DESC, length(solution) DESC, length(problem) DESC", _dup)
+SQL["consolidate"] = leaders("lower(coalesce(task_id, '')), experience_type, root_cause_type", "quality DESC", _con)
+
+#: decided: one operation for each new record; near: the best candidate is of its cluster and alike.
+DECIDED = f"""{RECALL}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY new_ord ORDER BY st DESC, sc DESC, sim DESC, qo DESC, old_ord) AS rank FROM strong WHERE good OR (any_good = 0 AND sim >= {d(0.20)})) WHERE rank = 1),
+sides AS (SELECT n.ord, n.id AS new_id, o.id AS best_id, coalesce(b.sim, {d(0.0)}) AS sim, n.quality AS q_new, coalesce(o.quality, {d(0.0)}) AS q_old, coalesce(b.sc, false) AS sc, coalesce(b.st, false) AS st,
+  trim(coalesce(n.task_id, '')) <> '' AS tasked, CASE WHEN n.quality > o.quality THEN n.id ELSE o.id END AS own, CASE WHEN n.quality > o.quality THEN o.id ELSE n.id END AS far,
+  CASE WHEN n.quality > o.quality THEN n.experience_type ELSE o.experience_type END AS own_type, n.experience_type AS new_type
+  FROM (SELECT * FROM tok WHERE ord % 2 = 0) n LEFT JOIN best b ON b.new_ord = n.ord LEFT JOIN tok o ON o.ord = b.old_ord),
+ruled AS (SELECT *, CASE WHEN best_id IS NULL AND q_new <= 2 AND NOT tasked THEN 'SKIP,,NoCandidate: low signal without a task' WHEN best_id IS NULL THEN 'INSERT,new,NoCandidate: no candidate'
+  WHEN sc AND sim >= {d(0.48)} AND q_new >= q_old + 2 THEN 'REPLACE,own,Rule: stronger record of the same cluster' WHEN sc AND sim >= {d(0.48)} THEN 'MERGE,own,Rule: same cluster' WHEN sim >= {d(0.82)} AND q_new <= q_old + 1 THEN 'SKIP,,Rule: near copy'
+  WHEN (sim >= {d(0.68)} OR (st AND sim >= {d(0.55)})) AND q_new >= q_old + 2 THEN 'REPLACE,new,Rule: stronger overlapping record' WHEN sim >= {d(0.60)} AND q_new <= q_old THEN 'SKIP,,Rule: overlapping and no better'
+  WHEN sc AND sim >= {d(0.34)} THEN 'MERGE,own,NoAnswer: same cluster' WHEN sim >= {d(0.45)} AND q_new >= q_old + 2 THEN 'REPLACE,new,NoAnswer: better than an overlapping one' WHEN sim >= {d(0.45)} THEN 'SKIP,,NoAnswer: overlapping candidate'
+  WHEN q_new <= 1 AND NOT tasked THEN 'SKIP,,NoAnswer: very low quality without a task' ELSE 'INSERT,new,NoAnswer: low overlap' END AS said FROM sides),
+decided AS (SELECT *, split_part(said, ',', 1) AS action, split_part(said, ',', 3) AS reason, CASE split_part(said, ',', 2) WHEN 'own' THEN own WHEN 'new' THEN new_id END AS id, split_part(said, ',', 2) AS kind FROM ruled)
+"""
+SQL["merge_decide"] = f"{BASE}{DECIDED} SELECT ord, new_id, best_id, round(sim, 9) AS sim, action, CASE WHEN action IN ('MERGE', 'REPLACE') THEN best_id ELSE '' END AS targets, id, reason FROM decided"
+SQL["apply_ops"] = f"""{BASE.replace("WITH raw AS", "WITH RECURSIVE raw AS", 1)}{DECIDED}, pool AS (SELECT id, ord, experience_type, row_number() OVER (ORDER BY ord) - 1 AS place FROM tok WHERE ord % 2 = 1),
+ops AS (SELECT *, row_number() OVER (ORDER BY ord) AS k FROM decided WHERE action <> 'SKIP'),
+fold AS (SELECT CAST(0 AS BIGINT) AS k, list({{'key': id, 'pos': place, 'src': CAST(NULL AS BIGINT)}} ORDER BY place) AS state, count(*) AS nxt FROM pool UNION ALL
+  SELECT k, CASE WHEN live THEN list_append(list_filter(state, lambda x: x.key <> id AND (action = 'INSERT' OR x.key <> best_id)), {{'key': id, 'pos': coalesce(kept, nxt), 'src': ord}}) ELSE state END, nxt + CASE WHEN live THEN 1 ELSE 0 END
+  FROM (SELECT o.k, o.ord, o.id, o.action, o.best_id, f.state, f.nxt, o.action = 'INSERT' OR len(list_filter(f.state, lambda x: x.key = o.best_id)) > 0 AS live,
+    list_extract(list_filter(f.state, lambda x: x.key = o.id AND (o.action = 'INSERT' OR x.key <> o.best_id)), 1).pos AS kept FROM fold f JOIN ops o ON o.k = f.k + 1)),
+final AS (SELECT unnest(state, recursive := true) FROM (SELECT state FROM fold ORDER BY k DESC LIMIT 1))
+SELECT final.key, final.pos, CASE WHEN final.src IS NULL THEN pool.experience_type WHEN decided.kind = 'own' THEN decided.own_type ELSE decided.new_type END AS experience_type, CASE WHEN decided.kind = 'own' THEN decided.far END AS merged_from
+FROM final LEFT JOIN pool ON final.src IS NULL AND pool.id = final.key LEFT JOIN decided ON decided.ord = final.src"""

@@ -92,3 +92,25 @@ c.conv_id % 13 = 0 AS has_task_error, CASE c.conv_id % 3
     WHEN 1 THEN false ELSE true END AS code_unchanged,
 CAST((c.conv_id % 17) * 25 AS DOUBLE) AS task_time_seconds, c.conv_id % 4 AS n_suggestions FROM conversations c GROUP BY c.conv_id
 """
+
+_NL = "chr(92), 'n'"
+_CODE = f"concat('Here it is:', {_NL}, '```verilog', {_NL}, 'module m_', c.conv_id, '(input a);', {_NL}, 'endmodule', {_NL}, '```', CASE WHEN c.conv_id % 3 = 0 THEN concat(' and ```verilog module n_', c.conv_id, '(); endmodule```') ELSE '' END)"
+_TASK = f"""concat('{{"task_id":"conv_', c.conv_id, '","question":"Why ', c.conv_id, '?","final_result":{{"status":"', CASE WHEN c.conv_id % 3 = 1 THEN 'failed' ELSE 'completed' END, '","iterations":', max(c.turn) + 1,
+  ',"final_output":"', CASE WHEN c.conv_id % 5 = 0 THEN 'no code' ELSE {_CODE} END, '","check_result":{{"passornot":', CASE WHEN c.conv_id % 2 = 0 THEN 'true' ELSE 'false' END,
+  ',"errors":[', CASE c.conv_id % 3 WHEN 0 THEN '' WHEN 1 THEN '{{"type":"logic","description":"wrong"}}' ELSE '{{"type":"logic","description":"wrong"}},{{"type":"style","message":"late"}}' END, '],"feedback":"', CASE c.conv_id % 11 WHEN 0 THEN 'Logic looks wrong' WHEN 1 THEN 'warning only' ELSE '' END,
+  '","suggestions":[', CASE WHEN c.conv_id % 4 = 1 THEN '"look again"' ELSE '' END, '],"verification":{{"sim":{{"result":{{"type":"', CASE c.conv_id % 7 WHEN 0 THEN 'simulation error' WHEN 1 THEN 'compile error' ELSE 'pass' END, '","detail":"', CASE WHEN c.conv_id % 7 = 2 THEN '1 Mismatch' ELSE 'ok' END, '"}}}}}}}}}},',
+  '"metrics":{{"iterations":7,"total_time_seconds":', (c.conv_id % 17) * 25, '.5}},"phases":[{{"phase":"plan","data":{{}}}}', CASE WHEN c.conv_id % 5 > 0 THEN concat(',{{"phase":"self_correction_audit","data":{{"errors_found":[{{"type":"x","severity":"', CASE c.conv_id % 5 WHEN 1 THEN 'low' WHEN 2 THEN 'Medium ' WHEN 3 THEN 'HIGH' ELSE 'critical' END, '"}}],"code_unchanged":', CASE WHEN c.conv_id % 2 = 0 THEN 'true' ELSE 'false' END, '}}}}') ELSE '' END, ']}}')"""
+#: Run logs: one task, in every fourth an agent's error, in every ninth a second task of the same id; some are no JSON.
+RUN_LOGS = f"""
+SELECT c.conv_id, concat('run_', c.conv_id, '.json') AS source_file, CASE WHEN c.conv_id % 13 = 5 THEN 'no {{ json' ELSE concat('{{"tasks":[', {_TASK},
+  CASE WHEN c.conv_id % 4 = 0 THEN concat(',{{"task_id":"agent_', c.conv_id, '","error":{{"type":"crash","message":"no answer"}}}}') ELSE '' END, CASE WHEN c.conv_id % 9 = 0 THEN concat(',', {_TASK}) ELSE '' END, ']}}') END AS content
+FROM conversations c GROUP BY c.conv_id
+"""
+#: Answers of a model to the segments of rank 0 to 2: plain, fenced, with raw line breaks, broken; confidences as numbers, quoted, or none.
+ANSWERS = f"""
+SELECT l.conv_id, l.source_file, CAST(r.k AS BIGINT) AS ord, concat(CASE WHEN l.conv_id % 4 = 1 THEN concat('```json', chr(10)) ELSE '' END, '{{"experiences": [', '{{ "id": "lesson_', l.conv_id, '_', r.k,
+  '", "category": "', CASE l.conv_id % 3 WHEN 0 THEN 'Interface' WHEN 1 THEN 'verification' ELSE 'logic' END, '", "problem": "the reset', CASE WHEN l.conv_id % 4 = 2 THEN chr(10) ELSE ' ' END, 'value is lost", "solution": "assign it in the pattern", "evidence": "seen at ', l.conv_id, '"',
+  CASE l.conv_id % 3 WHEN 0 THEN ', "confidence": "0.9"' WHEN 1 THEN ', "confidence": 1.7' ELSE '' END, CASE WHEN l.conv_id % 2 = 0 THEN ', "experience_type": "Functional"' ELSE '' END, ', "importance": "high" }}', CASE WHEN l.conv_id % 4 = 3 THEN ' and then nothing' ELSE ', {{"id": "second", "problem": "p", "solution": "s", "task_scope": "cross_task"}}, {{"id": "third", "problem": "p", "solution": "s"}}]}}' END,
+  CASE WHEN l.conv_id % 4 = 1 THEN concat(chr(10), '```') ELSE '' END) AS response
+FROM (SELECT DISTINCT conv_id, concat('run_', conv_id, '.json') AS source_file FROM conversations) l CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) r
+"""

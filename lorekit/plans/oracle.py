@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lorekit.functions import vocabulary as V
 from lorekit.operators.normalize import ALIASES
-from lorekit.plans.fixtures import CANDIDATES, SEGMENTS
+from lorekit.plans.fixtures import ANSWERS, CANDIDATES, RUN_LOGS, SEGMENTS
 
 
 def q(s: str) -> str:
@@ -135,9 +135,6 @@ SELECT CAST(rank AS INTEGER) AS rank, id, round(quality, 9) AS quality, rank ||
     "code_excerpt": r"SELECT doc_id, CASE WHEN length(t) <= 1800 THEN t ELSE left(t, 1400) || chr(10) || '...' || chr(10) || right(t, 400) END AS excerpt FROM (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS t FROM documents)",
     "truncate_text": "SELECT doc_id, CASE WHEN length(text) <= 500 THEN text ELSE left(text, 497) || '...' END AS short FROM documents",
     "json_props": "SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS total FROM events GROUP BY event_type",
-    "code_blocks": r"SELECT conv_id, turn, regexp_replace(text, '^\s+|\s+$', '', 'g') AS block FROM conversations",
-    "responses": "SELECT conv_id, turn, text AS response FROM conversations",
-    "spool_roundtrip": f"{BASE} SELECT ord, id, category, problem, solution, evidence, confidence FROM scored WHERE reason = 'pass'",
     "jaccard_pairs": r"""WITH t AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> ''))) AS w FROM documents), n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.w = b.w AND a.doc_id < b.doc_id GROUP BY 1, 2)
 SELECT a, b, round(CAST(k AS DOUBLE) / (x.n + y.n - k), 9) AS jaccard FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE CAST(k AS DOUBLE) / (x.n + y.n - k) >= CAST(0.42 AS DOUBLE)""",
@@ -197,3 +194,49 @@ fold AS (SELECT CAST(0 AS BIGINT) AS k, list({{'key': id, 'pos': place, 'src': C
 final AS (SELECT unnest(state, recursive := true) FROM (SELECT state FROM fold ORDER BY k DESC LIMIT 1))
 SELECT final.key, final.pos, CASE WHEN final.src IS NULL THEN pool.experience_type WHEN decided.kind = 'own' THEN decided.own_type ELSE decided.new_type END AS experience_type, CASE WHEN decided.kind = 'own' THEN decided.far END AS merged_from
 FROM final LEFT JOIN pool ON final.src IS NULL AND pool.id = final.key LEFT JOIN decided ON decided.ord = final.src"""
+
+SQL["code_blocks"] = r"SELECT conv_id, turn, CAST(3 AS INTEGER) AS n_blocks, unnest([0, 1]) AS k, unnest([regexp_replace(text, '^\s+|\s+$', '', 'g'), role]) AS block FROM conversations"
+SQL["responses"] = "SELECT conv_id, CAST(count(*) AS INTEGER) AS n, min_by(text, turn) AS first, max_by(text, turn) AS last FROM conversations GROUP BY conv_id"
+SQL["legacy_parse"] = """SELECT conv_id, min_by(text, turn) AS initial_code, max_by(text, turn) AS final_code, string_agg((turn + 1) || ':true', ',' ORDER BY turn) AS iterations,
+  string_agg('compile_error:bad ' || turn, ',' ORDER BY turn) || ',' || string_agg('runtime_error:CN_INVOKE_ERROR 7', ',') AS errors FROM conversations GROUP BY conv_id"""
+
+LOGS = f"""WITH logs AS ({RUN_LOGS}), held AS (SELECT *, CASE WHEN json_valid(content) THEN json_extract(content, '$.tasks[*]') ELSE [] END AS tasks FROM logs),
+task AS (SELECT source_file, conv_id, unnest(range(len(tasks))) AS task_idx, unnest(tasks) AS t FROM held),
+part AS (SELECT source_file, conv_id, CAST(task_idx AS INTEGER) AS task_idx, t, t->>'$.task_id' AS task_id, coalesce(t->>'$.question', '') AS question, (t->'$.error') IS NOT NULL AS has_task_error, t->'$.final_result.check_result' AS c,
+  coalesce(t->>'$.final_result.status', 'error') AS status, coalesce(CAST(t->>'$.final_result.check_result.passornot' AS BOOLEAN), false) AS passornot, coalesce(CAST(t->>'$.final_result.iterations' AS INTEGER), 0) AS iterations,
+  coalesce(CAST(json_array_length(t, '$.final_result.check_result.errors') AS INTEGER), 0) + CASE WHEN (t->'$.error') IS NOT NULL THEN 1 ELSE 0 END AS n_errors, coalesce(t->>'$.final_result.check_result.feedback', '') AS feedback,
+  coalesce(CAST(json_array_length(t, '$.final_result.check_result.suggestions') AS INTEGER), 0) AS n_suggestions, coalesce('[sim] type=' || (t->>'$.final_result.check_result.verification.sim.result.type') || ', detail=' || (t->>'$.final_result.check_result.verification.sim.result.detail'), '') AS verification_detail,
+  lower(trim(t->>'$.phases[1].data.errors_found[0].severity')) AS severity, CASE WHEN (t->'$.phases[1]') IS NULL THEN 0 ELSE 1 END AS n_sc_errors, CAST(t->>'$.phases[1].data.code_unchanged' AS BOOLEAN) AS code_unchanged,
+  coalesce(CAST(t->>'$.metrics.total_time_seconds' AS DOUBLE), CAST(0 AS DOUBLE)) AS task_time_seconds, coalesce(t->>'$.final_result.final_output', '') AS final_output FROM task),
+seen AS (SELECT *, array_to_string(list_transform(regexp_extract_all(final_output, '(?s)```verilog(.*?)```', 1), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), chr(10) || chr(10)) AS final_code, {contains("lower(verification_detail)", ["compile error", "simulation error", "function error", "mismatch", "timeout", "failed"])} AS sig FROM part),
+scored AS (SELECT *, CASE WHEN has_task_error THEN 80 ELSE 0 END + CASE WHEN passornot THEN 0 ELSE 100 END + CASE WHEN {contains("lower(verification_detail)", ["compile error", "simulation error"])} THEN 60 ELSE 0 END + CASE WHEN n_errors > 0 THEN 40 + 10 * n_errors ELSE 0 END + CASE WHEN n_sc_errors > 0 THEN 30 ELSE 0 END
+  + CASE WHEN iterations >= 2 THEN 15 ELSE 0 END + CASE WHEN iterations >= 4 THEN 15 ELSE 0 END + CASE WHEN task_time_seconds > 180 THEN 10 ELSE 0 END + CASE WHEN task_time_seconds > 300 THEN 10 ELSE 0 END + CASE WHEN code_unchanged = false THEN 10 ELSE 0 END + CASE WHEN n_suggestions > 0 THEN 5 ELSE 0 END + CASE WHEN feedback <> '' THEN 10 ELSE 0 END AS priority_score,
+  CASE WHEN passornot AND n_errors = 0 AND n_sc_errors = 0 AND NOT has_task_error AND NOT sig THEN 0 WHEN has_task_error THEN 2 WHEN NOT passornot THEN CASE WHEN severity IN ('high', 'critical') OR sig THEN 2 ELSE 1 END WHEN n_errors > 0 OR severity IN ('medium', 'high', 'critical') OR sig THEN 1 ELSE 0 END AS budget FROM seen),
+seg AS (SELECT *, CAST(row_number() OVER (PARTITION BY source_file ORDER BY priority_score DESC, task_idx) - 1 AS INTEGER) AS segment_rank FROM scored)
+"""
+SQL["log_segments"] = f"""{LOGS} SELECT source_file, task_idx, task_id, question, status, passornot, iterations, n_errors + n_sc_errors AS error_count, n_sc_errors, n_suggestions, feedback, verification_detail, code_unchanged, has_task_error, task_time_seconds, final_code, priority_score, budget, segment_rank, severity FROM seg"""
+SQL["segment_prompts"] = f"""{LOGS} SELECT source_file, segment_rank, task_id || ' ===' || chr(10) || 'Status: ' || status || ' | Pass: ' || CASE WHEN passornot THEN 'True' ELSE 'False' END || ' | Iterations: ' || iterations || ' | Priority: ' || priority_score
+  || CASE WHEN question = '' THEN '' ELSE chr(10) || chr(10) || '--- Question ---' || chr(10) || question END
+  || CASE WHEN n_errors = 0 THEN '' WHEN has_task_error THEN chr(10) || chr(10) || '--- Checker Errors ---' || chr(10) || '  [crash] no answer' ELSE chr(10) || chr(10) || '--- Checker Errors ---' || chr(10) || '  [logic] wrong' || CASE WHEN n_errors = 2 THEN chr(10) || '  [style] late' ELSE '' END END
+  || CASE WHEN n_sc_errors = 0 THEN '' ELSE chr(10) || chr(10) || '--- Self-Correction Audit Errors ---' || chr(10) || '  [x] (severity=' || (t->>'$.phases[1].data.errors_found[0].severity') || ') ' END
+  || CASE WHEN feedback = '' THEN '' ELSE chr(10) || chr(10) || '--- Checker Feedback ---' || chr(10) || feedback END || CASE WHEN verification_detail = '' THEN '' ELSE chr(10) || chr(10) || '--- Verification ---' || chr(10) || verification_detail END
+  || CASE WHEN final_code <> '' THEN chr(10) || chr(10) || '--- Relevant Code Excerpt ---' || chr(10) || final_code WHEN final_output <> '' THEN chr(10) || chr(10) || '--- Relevant Code Excerpt ---' || chr(10) || trim(final_output) ELSE '' END AS shown FROM seg WHERE budget > 0"""
+SQL["log_summary"] = f"""{LOGS}, own AS (SELECT *, CASE WHEN contains(verification_detail, 'type=pass') THEN 'pass' WHEN has_task_error THEN 'unknown' ELSE status END AS st,
+  array_to_string(list_filter([CASE WHEN conv_id % 3 > 0 AND NOT has_task_error THEN 'logic/wrong' END, CASE WHEN conv_id % 3 = 2 AND NOT has_task_error THEN 'style/' END, CASE WHEN contains(verification_detail, ' error,') THEN replace(t->>'$.final_result.check_result.verification.sim.result.type', ' ', '_') || '/' || (t->>'$.final_result.check_result.verification.sim.result.detail') END], lambda x: x IS NOT NULL), ',') AS said FROM seg)
+SELECT l.source_file, CAST(count(o.task_idx) AS INTEGER) AS task_count, coalesce(max(o.iterations), 0) AS iterations, CASE WHEN bool_or(o.st = 'pass') THEN 'pass' WHEN bool_or(o.st = 'completed') THEN 'completed' WHEN bool_or(o.st = 'failed') THEN 'failed' ELSE 'unknown' END AS status, coalesce(min_by(o.task_id, o.task_idx), '') AS task_id,
+  coalesce(min_by(o.feedback, o.task_idx) FILTER (o.feedback <> ''), '') AS feedback, coalesce(min_by(o.final_output, o.task_idx) FILTER (o.final_output <> ''), '') AS final_code,
+  CASE WHEN l.conv_id % 13 = 5 THEN 'parse_error/not JSON' ELSE coalesce(string_agg(o.said, ',' ORDER BY o.task_idx) FILTER (o.said <> ''), '') END AS errors FROM logs l LEFT JOIN own o ON o.source_file = l.source_file GROUP BY l.source_file, l.conv_id"""
+
+ITEMS = f"""answers AS ({ANSWERS}), items AS (SELECT a.*, i.item, CASE WHEN i.item = 0 THEN concat('lesson_', conv_id, '_', ord) WHEN i.item = 1 THEN 'second' ELSE 'third' END AS id, CASE WHEN i.item > 0 THEN 'p' WHEN conv_id % 4 = 2 THEN concat('the reset', chr(10), 'value is lost') ELSE 'the reset value is lost' END AS problem,
+  CASE WHEN i.item = 0 THEN concat('seen at ', conv_id) END AS evidence, CASE WHEN i.item = 0 AND conv_id % 3 = 0 THEN CAST(0.9 AS DOUBLE) WHEN i.item = 0 AND conv_id % 3 = 1 AND conv_id % 4 <> 3 THEN CAST(1.7 AS DOUBLE) END AS confidence,
+  CASE WHEN i.item > 0 THEN NULL WHEN conv_id % 3 = 0 THEN 'Interface' WHEN conv_id % 3 = 1 THEN 'verification' ELSE 'logic' END AS category, CASE WHEN i.item = 0 THEN 'high' END AS importance
+  FROM answers a CROSS JOIN (SELECT CAST(unnest([0, 1, 2]) AS INTEGER) AS item) i WHERE i.item = 0 OR conv_id % 4 <> 3)"""
+SQL["payload_ladder"] = f"WITH {ITEMS} SELECT source_file, ord, item, id, category, problem, evidence, confidence, importance FROM items"
+SQL["extract_records"] = f"""{LOGS}, {ITEMS} SELECT i.source_file, CAST(s.segment_rank AS BIGINT) * 1048576 + i.item AS place, i.id, s.task_id,
+  CASE WHEN i.item = 0 AND i.conv_id % 2 = 0 THEN 'functional_bug_fix' WHEN i.item = 0 AND i.category = 'Interface' THEN 'spec_compliance' WHEN i.item = 0 THEN 'implementation_pattern' ELSE 'functional_bug_fix' END AS experience_type,
+  CASE WHEN i.item = 0 THEN 'reset' ELSE 'general_logic' END AS root_cause_type, CASE WHEN i.item = 1 THEN 'cross_task' ELSE 'task_specific' END AS task_scope,
+  CASE WHEN i.confidence IS NOT NULL THEN least(i.confidence, CAST(1 AS DOUBLE)) WHEN i.item = 0 THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS confidence, CASE WHEN i.item = 0 THEN CAST(1 AS INTEGER) END AS n_evidence, true AS canonical
+  FROM items i JOIN seg s ON s.source_file = i.source_file AND s.segment_rank = i.ord WHERE i.item < s.budget"""
+SQL["spool_roundtrip"] = f"{BASE} SELECT CAST(row_number() OVER (ORDER BY ord) AS INTEGER) AS line, id, category, problem, solution, evidence, confidence, count(*) FILTER (ord % 10 = 0) OVER () AS invalid_lines FROM scored WHERE reason = 'pass'"
+SQL["pool_roundtrip"] = f"{BASE}, best AS (SELECT *, row_number() OVER (ORDER BY quality DESC, ord) AS rn FROM scored) SELECT row_number() OVER (ORDER BY ord) - 1 AS pos, id, importance, confidence FROM best WHERE rn <= 450"
+SQL["merge_prompts"] = f"""{BASE}{DECIDED}, shown AS (SELECT new_ord, least(count(*), 12) AS n FROM strong WHERE good OR (any_good = 0 AND sim >= {d(0.20)}) GROUP BY new_ord) SELECT ord, CAST(n AS INTEGER) AS n_candidates FROM decided JOIN shown ON new_ord = ord WHERE reason LIKE 'NoAnswer%'"""

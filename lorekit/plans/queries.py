@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lorekit.functions import text as X
-from lorekit.operators import cluster, merge, parse, quality, tier
+from lorekit.operators import cluster, extract, merge, parse, quality, tier
 from lorekit.operators import similarity as S
 from lorekit.operators.jaccard_join import similar_pairs
 from lorekit.operators.normalize import normalize, task_bucket
+from lorekit.operators.pool import Pool
 from lorekit.plans import oracle
-from lorekit.plans.fixtures import CANDIDATES, SEGMENTS
-from lorekit.schema import FIELDS, RECORD, as_records, barrier
+from lorekit.plans.fixtures import ANSWERS, CANDIDATES, RUN_LOGS, SEGMENTS
+from lorekit.schema import FIELDS, as_records, barrier
+from lorekit.sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,20 +205,116 @@ def json_props(spark, sf_dir):
 
 @query
 def code_blocks(spark, sf_dir):
-    fenced = F.concat(F.lit("before\n```python\n"), "text", F.lit("\n```\nafter"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(X.code_blocks(fenced, "python")).alias("block"))
+    """Three blocks around each text, two of one language."""
+    fenced = F.concat(F.lit("before\n```python\n"), "text", F.lit("\n```\nbetween ```c\nint x;\n``` and ```python\n"), F.col("role"), F.lit("\n``` after"))
+    every, own = X.code_blocks(fenced), X.code_blocks(fenced, "python")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.size(every).alias("n_blocks"), F.posexplode(own).alias("k", "block"))
 
 
 @query
 def responses(spark, sf_dir):
-    log = F.concat(F.lit("<log>@@response</log>"), "text", F.lit("<log>@@endresponse</log> rest"))
-    return table(spark, sf_dir, "conversations").withColumn("content", log).select("conv_id", "turn", F.explode(parse.responses()).alias("response"))
+    """A legacy log for each conversation: first and last answer, and how many there are."""
+    logs = legacy_logs(spark, sf_dir)
+    return logs.select("conv_id", F.size(parse.responses()).alias("n"), F.get(parse.responses(), F.lit(0)).alias("first"), F.get(parse.responses(), F.size(parse.responses()) - 1).alias("last"))
+
+
+def legacy_logs(spark, sf_dir) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
+    said = F.transform("t", lambda x: F.concat(F.lit('<analysis title="第'), (x["turn"] + 1).cast("string"), F.lit('次优化"> plan ```\n<log>@@response</log>'), x["text"], F.lit("<log>@@endresponse</log>\nerror: bad "), x["turn"].cast("string"), F.lit("\n\nCN_INVOKE_ERROR 7\n")))
+    return turns.select("conv_id", F.concat(F.lit("run_"), "conv_id", F.lit(".log")).alias("source_file"), F.array_join(said, "").alias("content"))
+
+
+@query
+def legacy_parse(spark, sf_dir):
+    rows = parse.legacy(legacy_logs(spark, sf_dir))
+    each = F.transform("iterations", lambda i: F.concat(i["iteration"].cast("string"), F.lit(":"), i["has_code"].cast("string")))
+    found = F.transform("errors", lambda e: F.concat(e["type"], F.lit(":"), e["message"]))
+    return rows.select("conv_id", "initial_code", "final_code", F.array_join(each, ",").alias("iterations"), F.array_join(found, ",").alias("errors"))
+
+
+def _from_conversations(spark, sf_dir, sql: str) -> DataFrame:
+    sql = sql.replace("{", "{{").replace("}", "}}").replace("FROM conversations", "FROM {conversations}")
+    return spark.sql(sql, conversations=table(spark, sf_dir, "conversations"))
+
+
+def run_logs(spark, sf_dir) -> DataFrame:
+    return _from_conversations(spark, sf_dir, RUN_LOGS)
+
+
+def answers(spark, sf_dir) -> DataFrame:
+    rows = _from_conversations(spark, sf_dir, ANSWERS)
+    return rows.select(F.lit("segment").alias("prompt_kind"), "source_file", F.lit(None).cast("string").alias("task_id"), "ord", "response")
+
+
+@query
+def log_segments(spark, sf_dir):
+    rows = parse.segments(run_logs(spark, sf_dir))
+    return rows.select(
+        "source_file", "task_idx", "task_id", "question", "status", "passornot", "iterations", "error_count", "n_sc_errors", "n_suggestions", "feedback", "verification_detail", "code_unchanged", "has_task_error", "task_time_seconds",
+        "final_code", "priority_score", "budget", "segment_rank", F.get("severities", F.lit(0)).alias("severity"),
+    )
+
+
+@query
+def segment_prompts(spark, sf_dir):
+    rows = extract.segment_prompts(parse.segments(run_logs(spark, sf_dir)))
+    return rows.select("source_file", "segment_rank", F.substring_index("prompt", "=== Task: ", -1).alias("shown"))
+
+
+@query
+def log_summary(spark, sf_dir):
+    rows = parse.summary(run_logs(spark, sf_dir))
+    kinds = F.array_join(F.transform("errors", lambda e: F.concat(e["type"], F.lit("/"), e["message"])), ",")
+    return rows.select("source_file", "task_count", "iterations", "status", "task_id", "feedback", "final_code", kinds.alias("errors"))
+
+
+@query
+def payload_ladder(spark, sf_dir):
+    rows = answers(spark, sf_dir).select("source_file", "ord", F.posexplode(parse.payload_records(F.col("response"))).alias("item", "r"))
+    return rows.select("source_file", "ord", "item", "r.id", "r.category", "r.problem", "r.evidence", "r.confidence", "r.importance")
+
+
+@query
+def extract_records(spark, sf_dir):
+    rows = extract.extract(run_logs(spark, sf_dir).select("source_file", "content"), answers(spark, sf_dir))
+    place = F.col("ord").bitwiseAND(F.lit((1 << 40) - 1))
+    return rows.select("source_file", place.alias("place"), "id", "task_id", "experience_type", "root_cause_type", "task_scope", "confidence", F.size("evidence_list").alias("n_evidence"), "canonical")
+
+
+def _shared(spark, name: str) -> str:
+    """A new folder that executors reach too: under spark.checkpoint.dir, or a temporary one on a single machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='lorekit-')}"
+    return f"{root.rstrip('/')}/lorekit-{name}-{uuid.uuid4().hex}"
 
 
 @query
 def spool_roundtrip(spark, sf_dir):
-    lines = prepared(spark, sf_dir).select("ord", F.to_json(F.struct(*FIELDS)).alias("line"))
-    return lines.select("ord", F.from_json("line", RECORD).alias("r")).select("ord", "r.id", "r.category", "r.problem", "r.solution", "r.evidence", "r.confidence")
+    """Prepared records written as spool files and read back, with lines that are no JSON."""
+    folder = _shared(spark, "spool")
+    lines = prepared(spark, sf_dir).select("ord", F.to_json(F.struct(*FIELDS)).alias("value"))
+    lines = lines.unionAll(lines.where("ord % 10 = 0").select("ord", F.concat(F.lit("{broken "), "value")))
+    lines.repartitionByRange(5, "ord").sortWithinPartitions("ord", "value").select("value").write.text(folder)
+    rows, bad = readers.read_spool(spark, [folder])
+    order = F.row_number().over(W.orderBy("ord"))  # the order itself is what is shown
+    rows = rows.select(order.alias("line"), "id", "category", "problem", "solution", "evidence", "confidence")
+    return rows.crossJoin(F.broadcast(bad))  # one row
+
+
+@query
+def pool_roundtrip(spark, sf_dir):
+    """The best records as a pool file, written and read back with the places of their entry."""
+    best = quality.cap(normalized(spark, sf_dir), 450, "ord")
+    folder = tempfile.mkdtemp(prefix="lorekit-")  # the driver's own: a pool file is one small file
+    sinks.save_pool(best, f"{folder}/pool.json", False, None, "ord")
+    rows = [json.loads(x) for x in Pool.of(readers.read_pool(spark, f"{folder}/pool.json")).get_all().toJSON().collect()]  # 450 at most
+    return spark.createDataFrame([(r["pos"], r["id"], r["importance"], r.get("confidence")) for r in rows], "pos long, id string, importance string, confidence double")
+
+
+@query
+def merge_prompts(spark, sf_dir):
+    """How many candidates each undecided record is shown with."""
+    rows = merge.prompts(*_halves(spark, sf_dir))
+    return rows.select("ord", (F.size(F.split("prompt", '"solution":')) - 2).alias("n_candidates"))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

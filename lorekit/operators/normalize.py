@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lorekit.functions import vocabulary as V
 from lorekit.functions.text import any_in, joined, lowered, strip, string_list, task_tokens, text
-from lorekit.schema import barrier
+from lorekit.schema import FIELDS, barrier
 
 ALIASES = {alias: target for target, aliases in V.CATEGORIES.items() for alias in aliases}
 
@@ -94,24 +94,32 @@ def higher_importance(a: Column, b: Column) -> Column:
     return F.when(rank(a) >= rank(b), a).otherwise(b)
 
 
-def normalize(df: DataFrame) -> DataFrame:
-    """Every normaliser in the order in which later ones read earlier results. Not idempotent for records without
-    evidence: each pass lowers their importance by one step."""
+#: What a normaliser reads of the others' results.
+NEEDS = {"importance": ["evidence"], "experience_type": ["category", "id"], "root_cause_type": ["id"], "task_scope": ["root_cause_type", "id"], "evidence_list": ["evidence"]}
+
+
+def normalize(df: DataFrame, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Every normaliser in the order in which later ones read earlier results; only: for these fields, without the others.
+
+    Not idempotent for records without evidence: each pass lowers their importance by one step.
+    """
     lower_step = F.when(F.col("importance") == "high", "medium").when(F.col("importance") == "medium", "low").otherwise(F.col("importance"))
-    rows = (
-        df.withColumn("category", category())
-        .withColumn("id", record_id())
-        .withColumn("importance", importance())
-        .withColumn("experience_type", experience_type())
-        .withColumn("root_cause_type", root_cause())
-        .withColumn("task_scope", task_scope())
-        .withColumn("confidence", confidence())
-        .withColumn("canonical", F.coalesce("canonical", F.lit(True)))
-        .withColumn("evidence", F.nullif(strip(text("evidence")), F.lit("")))
-        .withColumn("evidence_list", F.nullif(string_list(F.col("evidence_list"), F.col("evidence")), F.array().cast("array<string>")))
-        .withColumn("merged_from", F.nullif(string_list(F.col("merged_from")), F.array().cast("array<string>")))
-        .withColumn("importance", F.when(F.col("evidence").isNull(), lower_step).otherwise(F.col("importance")))
-    )
+    none = F.array().cast("array<string>")
+    steps = [
+        ("category", category()), ("id", record_id()), ("importance", importance()), ("experience_type", experience_type()), ("root_cause_type", root_cause()), ("task_scope", task_scope()), ("confidence", confidence()),
+        ("canonical", F.coalesce("canonical", F.lit(True))), ("evidence", F.nullif(strip(text("evidence")), F.lit(""))), ("evidence_list", F.nullif(string_list(F.col("evidence_list"), F.col("evidence")), none)),
+        ("merged_from", F.nullif(string_list(F.col("merged_from")), none)), ("importance", F.when(F.col("evidence").isNull(), lower_step).otherwise(F.col("importance"))),
+    ]
+    wanted = set(FIELDS if only is None else only)
+    for name in ("task_scope", *NEEDS):
+        if name in wanted:
+            wanted |= set(NEEDS[name])
+    rows = df
+    for name, column in steps:
+        if name in wanted:
+            rows = rows.withColumn(name, column)
+    if only is not None:
+        rows = rows.select(*(c for c in df.columns if c not in FIELDS or c in only))
     return barrier(rows)
 
 

@@ -55,8 +55,8 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.prepare(candidates(spark, sf_dir))
 
 
-def _column(name: str, column: F.Column | str) -> None:
-    QUERIES[name] = lambda spark, sf_dir: normalized(spark, sf_dir).select("ord", column)
+def _column(name: str, column: str) -> None:
+    QUERIES[name] = lambda spark, sf_dir: normalize(candidates(spark, sf_dir), (column,)).select("ord", column)
 
 
 for _name, _c in {
@@ -68,10 +68,10 @@ for _name, _c in {
 
 @query
 def evidence_list_normalize(spark, sf_dir):
-    return normalized(spark, sf_dir).select("ord", F.array_join("evidence_list", "|").alias("evidence_list"))
+    return normalize(candidates(spark, sf_dir), ("evidence_list",)).select("ord", F.array_join("evidence_list", "|").alias("evidence_list"))
 
 
-QUERIES["task_bucket"] = lambda spark, sf_dir: normalized(spark, sf_dir).select("ord", task_bucket().alias("bucket"))
+QUERIES["task_bucket"] = lambda spark, sf_dir: normalize(candidates(spark, sf_dir), ("task_scope", "task_id")).select("ord", task_bucket().alias("bucket"))
 QUERIES["quality_gate"] = lambda spark, sf_dir: normalized(spark, sf_dir).select("ord", (quality.gate() == quality.PASS).alias("passes"))
 QUERIES["quality_gate_reasons"] = lambda spark, sf_dir: cluster.gate_reasons(candidates(spark, sf_dir))
 QUERIES["quality_score"] = lambda spark, sf_dir: normalized(spark, sf_dir).select("ord", F.round(quality.quality_score(), 9).alias("quality"))
@@ -99,7 +99,7 @@ def tier_reasons(spark, sf_dir):
 
 @query
 def type_counts(spark, sf_dir):
-    return cluster.count_by_type(normalized(spark, sf_dir))
+    return cluster.count_by_type(normalize(candidates(spark, sf_dir), ("experience_type",)))
 
 
 @query

@@ -189,7 +189,7 @@ def clean(embeddings: DataFrame) -> DataFrame:
     return embeddings.where(F.col("vec_id").isNotNull() & F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long"), F.transform(v, lambda x: x + 0.0).alias("v"))
 
 
-def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 10, beam: int = BEAM, shard: int = SHARD) -> DataFrame:
+def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 10, beam: int = 2 * BEAM, shard: int = SHARD) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of embeddings (vec_id, embedding) to each row of queries."""
     index = build_index(clean(embeddings), k, shard)
     asked = clean(queries).dropDuplicates(["vec_id"]).withColumn("dim", F.size("v"))

@@ -5,7 +5,7 @@ after a circular shift by the coordinate's number. Coordinates are banded; docum
 enough coordinates form candidate clusters; exact Jaccard on the full shingle sets then confirms links.
 
 With 24 bands of 4 rows, a pair at exactly the threshold of 0.8 is missed with a probability under 1e-5, one above
-it with far less. Copies collapse first by a 128-bit fingerprint of their shingle set, and clusters above a million
+it with far less. Copies collapse first by a 128-bit fingerprint of their shingle set, and clusters above 250,000
 shingles are dealt over pairs of blocks, so no task holds an unbounded group.
 
 Defined cases: a null, empty or blank text has no shingles, stands alone and links with nothing; with fewer words
@@ -28,7 +28,7 @@ BANDS, ROWS = 24, 4
 COORDS = BANDS * ROWS
 #: Of 96 coordinates; a pair at Jaccard 0.8 agrees in 77 on average, and in fewer than 58 about once in a million.
 AGREE = 58
-BLOCK_ROWS, BLOCK_SHINGLES, PIECE = 1024, 1_000_000, 1 << 20
+BLOCK_ROWS, BLOCK_SHINGLES, PIECE = 1024, 250_000, 1 << 20
 
 _rng = np.random.default_rng(20240229)
 BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

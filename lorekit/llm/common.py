@@ -157,11 +157,11 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b): label is the smallest node it can reach.
 
     Alternating stars: a node tells its larger neighbours of its least one, then all smaller ones. A round deals the links
-    by their nodes twice, and the number of rounds follows the logarithm of the longest chain. Links of hubs, in the
-    large stars, stay where they are: the driver takes the least neighbour of each hub, whose number is bounded, and a
-    row of totals, nothing else.
+    by their nodes twice, and the number of rounds follows the logarithm of the longest chain. Links of a hub are dealt
+    over many tasks: the driver takes the least neighbour of each hub, whose number is bounded, and a row of totals,
+    nothing else.
     """
-    spark, each = edges.sparkSession, W.partitionBy("u")
+    spark = edges.sparkSession
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = settle(e, "links")
     links, old = e.count(), []
@@ -174,15 +174,21 @@ def components(edges: DataFrame) -> DataFrame:
         discard(*old)
         if not now.open:
             break
-        links, rest, told = now.links, both, None
+        links = now.links
+        known = None
         if now.hubs:
-            hubs = json.dumps([{"u": h.u, "m": h.m} for h in now.hubs])
-            known = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(hubs), "array<struct<u:long,m:long>>"))))
-            rest = both.join(known, "u", "left_anti")
-            told = both.join(known, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = rest.withColumn("m", F.least("u", F.min("v").over(each))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = (large.union(told) if told is not None else large).withColumn("m", F.min("v").over(each))
-        pairs = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+            hubs = json.dumps([{"u": h.u, "hub": h.m} for h in now.hubs])
+            known = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(hubs), "array<struct<u:long,hub:long>>"))))
+
+        def least(rows: DataFrame, known: DataFrame | None = known) -> DataFrame:
+            """rows (u, v) with m, the least v of u; for a hub its least neighbour, so that its rows need not meet."""
+            if known is None:
+                return rows.withColumn("m", F.min("v").over(W.partitionBy("u")))
+            rows = rows.join(known, "u", "left").withColumn("salt", F.when(F.col("hub").isNotNull(), F.pmod(F.xxhash64("v"), F.lit(64))).otherwise(0))
+            return rows.withColumn("m", F.coalesce("hub", F.min("v").over(W.partitionBy("u", "salt"))))
+
+        large = least(both).withColumn("m", F.least("u", "m")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        pair = lambda x: F.struct(F.greatest(x, "m").alias("u"), F.least(x, "m").alias("v"))
         old = [e]
-        e = settle(small.select(F.inline(pairs)).where("u <> v").distinct(), "links")
+        e = settle(least(large).select(F.inline(F.array(pair("u"), pair("v")))).where("u <> v").distinct(), "links")
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

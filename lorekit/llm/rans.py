@@ -1,7 +1,7 @@
 """Token files coded by a static range asymmetric numeral system.
 
 One frequency table, counted over all tokens of the corpus, is shared by all blocks. A block holds whole documents,
-about 131,072 tokens, dealt over up to 1024 interleaved lanes; it can be decoded without any other block, and its
+about 262,144 tokens, dealt over up to 2048 interleaved lanes; it can be decoded without any other block, and its
 checkpoints (lane states and word positions every 64 steps) let parts of it be decoded side by side. Checksums cover
 the coded words and the ids. A file is the run of blocks of one range of document ids; files are written and read by
 Spark, so executors share nothing but the folder.
@@ -30,8 +30,8 @@ from lorekit.llm.common import discard, resettled, settle, with_batches
 
 SCALE = 18
 LOW = np.uint64(1 << 31)
-BLOCK, LANES, STRIDE = 1 << 17, 1024, 64
-BLOCKS_AT_ONCE = 8
+BLOCK, LANES, STRIDE = 1 << 18, 2048, 64
+BLOCKS_AT_ONCE = 4
 #: Pages are closed by their size after any row: by default only after a hundred, which here makes 50 MB.
 LARGE_ROWS = {"parquet.page.size.row.check.min": "1"}
 MAGIC = b"RANB"

@@ -288,6 +288,45 @@ def test_lines_with_a_common_beginning(spark):
     assert sorted(got) == sorted(line_oracle(rows)) and sum(r[2] for r in got) > 40
 
 
+def spread(rng, text, edits):
+    """text with so many edits, as far apart as they can be: what both have in a row is as short as it can be."""
+    out, kind = list(text), rng.choice(["replace", "delete", "insert"])
+    for i in reversed(range(edits)):
+        at = (i + 1) * len(text) // (edits + 1)
+        out[at : at + (kind != "insert")] = [] if kind == "delete" else ["#"]
+    return "".join(out)
+
+
+def test_long_lines_with_edits_far_apart(spark):
+    """As many edits as allowed leave no long stretch as it was; lengths where the stretch changes, and very long lines."""
+    rng = random.Random(17)
+    rows = []
+    for n in [100, 101, 104, 105, 107, 119, 120, 161, 162, 170, 199, 360, 361, 379, 400, 420, 1000, 3000, 70000] * 2:
+        base = "".join(rng.choices("abcdefghij ", k=n))
+        other = spread(rng, base, n * 5 // 100)
+        if len(other) < n:
+            other = spread(rng, base, len(other) * 5 // 100)
+        rows += [(len(rows), base), (len(rows) + 1, other if n < 70000 else base[:300] + "#" * 1500 + base[300:])]
+    rows.append((len(rows), "a" * 150)), rows.append((len(rows), "a" * 157)), rows.append((len(rows), "a" * 164))
+    got = [(r.doc_id, r.class_id, r.n_links, list(r.dropped)) for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(line_oracle(rows)) and [r[2] for r in sorted(got)] == [1] * (len(rows) - 3) + [2, 2, 2]
+
+
+def test_long_lines_with_a_common_beginning(spark):
+    """More lines than a block share a passage at one place, and some of them nothing else that is as long."""
+    rng = random.Random(19)
+    bases = ["2024-02-29 12:00:00 worker said: " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=90)) for _ in range(560)]
+    near = []
+    for b in bases[:40]:
+        x = list(b)
+        for i in range(6):
+            x[41 + 13 * i] = "#"
+        near.append("".join(x))
+    rows = list(enumerate(bases + near))
+    got = {r.doc_id: (r.class_id, r.n_links, list(r.dropped)) for r in lines.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (i, 1 if i < 40 else 0, []) if i < 560 else (i - 560, 1, [0]) for i, _ in rows}
+
+
 def test_shards(docs):
     rows = hilbert.hilbert_shards(docs, 5).collect()
     counts = [sum(r.shard == s for r in rows) for s in range(5)]

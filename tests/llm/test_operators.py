@@ -327,6 +327,21 @@ def test_long_lines_with_a_common_beginning(spark):
     assert got == {i: (i, 1 if i < 40 else 0, []) if i < 560 else (i - 560, 1, [0]) for i, _ in rows}
 
 
+def test_drop_long_lines_with_edits_far_apart(spark):
+    """The pipeline's line stage drops later forms of long lines with as many edits as allowed."""
+    rng = random.Random(23)
+    bases = ["".join(rng.choices("abcdefghij ", k=n)) for n in (100, 120, 160, 199, 240, 360, 400, 560, 900) for _ in range(4)]
+    copies = []
+    for b in bases:
+        x = list(b)
+        for i in range(len(b) * 5 // 100):
+            x[(i + 1) * len(b) // (len(b) * 5 // 100 + 1)] = "#"
+        copies.append("".join(x))
+    rows = [(i, f"{b}\nown words of document number {i * 7919:040d}") for i, b in enumerate(bases)] + [(100 + i, f"{c}\n{i:03d}") for i, c in enumerate(copies)]
+    got = {r.doc_id: r.text for r in lines.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[100 + i] for i in range(len(copies))] == [f"{i:03d}" for i in range(len(copies))] and all(got[i].startswith(b) for i, b in enumerate(bases))
+
+
 def test_shards(docs):
     rows = hilbert.hilbert_shards(docs, 5).collect()
     counts = [sum(r.shard == s for r in rows) for s in range(5)]

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -342,6 +343,38 @@ def test_drop_long_lines_with_edits_far_apart(spark):
     assert [got[100 + i] for i in range(len(copies))] == [f"{i:03d}" for i in range(len(copies))] and all(got[i].startswith(b) for i, b in enumerate(bases))
 
 
+def test_lines_that_share_many_keys_meet_once():
+    """Near copies of long lines share hundreds of keys, some lines apiece; candidates grow with the lines, none is lost."""
+    rng = random.Random(29)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(500)]
+    base, rows = rng.choices(words, k=70), []
+    for size in (300, 1200):
+        copies = []
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randint(0, 5)):
+                w[rng.randrange(len(w))] = rng.choice(words)
+            copies.append(" ".join(w))
+        copies = sorted(set(copies))
+        found = [pa.RecordBatch.from_pydict({"text": copies})]
+        for step in (lines._keys(20, 2, 0), lines._meet(2), lines._once):
+            out = [x for b in step(iter(found)) for x in b.to_pylist()]
+            found = [pa.RecordBatch.from_pylist(sorted(out, key=lambda x: x.get("part", 0)))]
+        near = {x["near"] for x in out}
+        rows.append((len(near), len(out), len(copies)))
+        tiles = {}
+        for x in out:
+            tiles.setdefault(x["key"], set()).add(x["near"])
+        codes, a, b, _ = next(lines._pieces(copies))
+        name = (np.array(list(map(len, copies))) << 32) | (lines._line_ids(*lines._sums(codes), a, b) >> np.uint64(32)).astype(np.int64)
+        for _ in range(3000):
+            i, j = rng.sample(range(len(copies)), 2)
+            most = min(map(len, (copies[i], copies[j]))) * 5 // 100
+            if lines.edit_distance(copies[i], copies[j], most) <= most:
+                assert any({int(name[i]), int(name[j])} <= t for t in tiles.values())
+    assert all(out <= 30 * n for n, out, _ in rows) and rows[1][1] <= 6 * rows[0][1], rows
+
+
 def test_shards(docs):
     rows = hilbert.hilbert_shards(docs, 5).collect()
     counts = [sum(r.shard == s for r in rows) for s in range(5)]

@@ -375,6 +375,22 @@ def test_lines_that_share_many_keys_meet_once():
     assert all(out <= 30 * n for n, out, _ in rows) and rows[1][1] <= 6 * rows[0][1], rows
 
 
+def test_lines_of_middling_groups_meet_once():
+    """Sixty near copies of a long line: candidates are not all their pairs."""
+    rng = random.Random(31)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(500)]
+    base, copies = rng.choices(words, k=70), set()
+    while len(copies) < 60:
+        w = list(base)
+        w[rng.randrange(len(w))] = rng.choice(words)
+        copies.add(" ".join(w))
+    found = [pa.RecordBatch.from_pydict({"text": sorted(copies)})]
+    for step in (lines._keys(20, 2, 0), lines._meet(2), lines._once):
+        out = [x for b in step(iter(found)) for x in b.to_pylist()]
+        found = [pa.RecordBatch.from_pylist(sorted(out, key=lambda x: x.get("part", 0)))]
+    assert len({x["near"] for x in out}) == 60 and len(out) <= 20 * 60, len(out)
+
+
 def test_shards(docs):
     rows = hilbert.hilbert_shards(docs, 5).collect()
     counts = [sum(r.shard == s for r in rows) for s in range(5)]

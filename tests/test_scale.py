@@ -22,7 +22,7 @@ def same_as_sql(spark, sf_dir, name):
     return mine
 
 
-@pytest.mark.parametrize("name", ["tier_classify"])
+@pytest.mark.parametrize("name", ["tier_classify", "tier_reasons"])
 def test_tiers_of_odd_texts_equal_sql(spark, tmp_path, name):
     """Numbers beside letters that aren't ASCII, and line breaks where a text is cut."""
     texts = [f"{w}{s}en_b de_a reset{s}fifo 5ß 12 é4{s}3 counter{s}{w}" * (1 + i % 4) for i in range(150) for w in ("x", "de_a ") for s in ("\n", "\t\n", "  ", " ")]

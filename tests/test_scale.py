@@ -27,3 +27,15 @@ def test_tiers_of_odd_texts_equal_sql(spark, tmp_path, name):
     """Numbers beside letters that aren't ASCII, and line breaks where a text is cut."""
     texts = [f"{w}{s}en_b de_a reset{s}fifo 5ß 12 é4{s}3 counter{s}{w}" * (1 + i % 4) for i in range(150) for w in ("x", "de_a ") for s in ("\n", "\t\n", "  ", " ")]
     same_as_sql(spark, documents(spark, tmp_path, texts), name)
+
+
+def common_words(i, n=40):
+    """Texts that share most of their words with all others; every fifth is nearly the one before."""
+    k = i - (i % 5 == 4)
+    return "reset width in counter state " + " ".join(f"w{j}" for j in range(n) if (j * 7 + k * 13) % 3) + f" Use assign error checker u{i} " + " ".join(f"v{(k * j) % 211}" for j in range(1, n))
+
+
+def test_similar_pairs_are_never_rows_before_they_are_similar(spark, tmp_path):
+    sf_dir = documents(spark, tmp_path, [common_words(i) for i in range(300)])
+    assert same_as_sql(spark, sf_dir, "jaccard_pairs")
+    assert "Join" not in queries.QUERIES["jaccard_pairs"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

@@ -39,3 +39,11 @@ def test_similar_pairs_are_never_rows_before_they_are_similar(spark, tmp_path):
     sf_dir = documents(spark, tmp_path, [common_words(i) for i in range(300)])
     assert same_as_sql(spark, sf_dir, "jaccard_pairs")
     assert "Join" not in queries.QUERIES["jaccard_pairs"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["candidate_recall", "merge_decide", "merge_prompts", "apply_ops"])
+def test_recall_makes_no_row_of_a_pair_below_the_best(spark, tmp_path, name):
+    """Tokens in common were counted from a row for each pair and token."""
+    sf_dir = documents(spark, tmp_path, [common_words(i) * 3 for i in range(160)])
+    assert same_as_sql(spark, sf_dir, name) or name == "merge_prompts"
+    assert "both_p" not in queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()

@@ -47,3 +47,17 @@ def test_recall_makes_no_row_of_a_pair_below_the_best(spark, tmp_path, name):
     sf_dir = documents(spark, tmp_path, [common_words(i) * 3 for i in range(160)])
     assert same_as_sql(spark, sf_dir, name) or name == "merge_prompts"
     assert "both_p" not in queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["dup_pairs", "consolidate_pairs"])
+def test_pairs_of_a_group_are_never_rows_before_they_are_similar(spark, tmp_path, name):
+    sf_dir = documents(spark, tmp_path, [common_words(i - i % 4) * 3 + str(i) for i in range(400)], lambda i: i - i % 4)
+    assert same_as_sql(spark, sf_dir, name)
+    assert "Join" not in queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_spool_lines_are_numbered_without_one_task_for_all(spark, tmp_path):
+    sf_dir = documents(spark, tmp_path, [common_words(i) * 3 for i in range(160)])
+    assert same_as_sql(spark, sf_dir, "spool_roundtrip")
+    plan = queries.QUERIES["spool_roundtrip"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(ord#" not in plan
